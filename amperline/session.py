@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import tempfile
+import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -33,21 +34,26 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
+def _checkpoint_dir(spark: SparkSession) -> None:
+    """Use the shared folder the session names; a local one only in local mode."""
+    context = spark.sparkContext
+    if context.getCheckpointDir() is not None:
+        return
+    shared = spark.conf.get("spark.checkpoint.dir", None)
+    if shared is None:
+        if not context.master.startswith("local"):
+            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+        shared = tempfile.mkdtemp(prefix="amperline-checkpoint-")
+    context.setCheckpointDir(shared)
+
+
 def durable(frame: DataFrame) -> DataFrame:
     """Store a frame reliably and read it back.
 
     Used for small per-series tables that several later steps must see with
     identical values, also after an executor is lost.
     """
-    spark = frame.sparkSession
-    context = spark.sparkContext
-    if context.getCheckpointDir() is None:
-        shared = spark.conf.get("spark.checkpoint.dir", None)
-        if shared is None:
-            if not context.master.startswith("local"):
-                raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-            shared = tempfile.mkdtemp(prefix="amperline-checkpoint-")
-        context.setCheckpointDir(shared)
+    _checkpoint_dir(frame.sparkSession)
     return frame.checkpoint()
 
 
@@ -67,3 +73,10 @@ def join_sized(
     if small.limit(broadcast_rows + 1).count() <= broadcast_rows:
         small = F.broadcast(small)
     return large.join(small, on, how)
+
+
+def scratch_folder(spark: SparkSession) -> str:
+    """A new folder beside the checkpoints, visible to every executor."""
+    _checkpoint_dir(spark)
+    base = spark.sparkContext.getCheckpointDir()
+    return f"{base.rstrip('/')}/scratch-{uuid.uuid4().hex}"
