@@ -14,6 +14,16 @@ PRESSURE_WEIGHTS = {"demand": 0.50, "forecast": 0.30, "generation": 0.20}
 SEVERITY_CUTS = (("CRITICAL", 90.0), ("HIGH", 75.0), ("ELEVATED", 55.0))
 
 
+def shown(value: Column | str, digits: int) -> Column:
+    """Round the binary value, ties to even.
+
+    ``F.round`` works on the shortest decimal text instead and turns 2.675 into
+    2.68 although the stored number is below the tie.
+    """
+    scale = F.lit(10.0**digits)
+    return F.rint((F.col(value) if isinstance(value, str) else value) * scale) / scale
+
+
 def percent_of(part: Column, whole: Column) -> Column:
     """``part / whole * 100``; NULL when the denominator is NULL or zero."""
     return F.try_divide(part, whole) * F.lit(100.0)
@@ -31,10 +41,10 @@ def gap_pct(gap: Column, demand: Column) -> Column:
 
 def severity(score: Column) -> Column:
     """Label of a score that is first rounded to the displayed decimal."""
-    shown = F.round(score, 1)
+    displayed = shown(score, 1)
     label = F.lit("NORMAL")
     for name, cut in reversed(SEVERITY_CUTS):
-        label = F.when(shown >= cut, F.lit(name)).otherwise(label)
+        label = F.when(displayed >= cut, F.lit(name)).otherwise(label)
     return label
 
 

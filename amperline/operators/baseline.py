@@ -26,7 +26,7 @@ from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from amperline.session import durable, join_sized
+from amperline.session import durable
 
 # Executors receive the per-series functions themselves, so a job also runs
 # where the package is installed on the driver only.
@@ -135,7 +135,7 @@ def _split(pool: DataFrame, wanted: DataFrame) -> DataFrame:
         F.try_divide(F.col("value") - F.col("vmin"), F.col("vmax") - F.col("vmin")), F.lit(0.0)
     )
     inner = F.least(F.floor(share * F.lit(SPLITS)), F.lit(SPLITS - 1))
-    finer = join_sized(pool, durable(numbered), [*SERIES, "bin"])
+    finer = pool.join(durable(numbered), [*SERIES, "bin"])
     return finer.select(*SERIES, "value", (F.col("_no") * F.lit(SPLITS) + inner).alias("bin"))
 
 
@@ -145,7 +145,7 @@ def summarise_history(history: DataFrame, points: int) -> DataFrame:
     ``history`` has the columns ``series``, ``component`` and ``value``.
     """
     pool = history.withColumn("bin", magnitude_bin(F.col("value")))
-    bins = durable(count_bins(pool))
+    bins = count_bins(pool)
     while True:
         marked = durable(bracket_bins(bins, points))
         wanted = marked.where((F.col("central") | F.col("edge")) & F.col("bin").isNotNull())
@@ -157,9 +157,7 @@ def summarise_history(history: DataFrame, points: int) -> DataFrame:
         settled = marked.where(~(F.col("central") | F.col("edge"))).withColumn(
             "bin", F.lit(None).cast("long")
         )
-        bins = durable(
-            settled.select(*bins.columns).unionByName(count_bins(pool).select(*bins.columns))
-        )
+        bins = settled.select(*bins.columns).unionByName(count_bins(pool).select(*bins.columns))
 
     whole = Window.partitionBy(*SERIES)
     uniform = F.min("vmin").over(whole) == F.max("vmax").over(whole)
@@ -183,7 +181,7 @@ def summarise_history(history: DataFrame, points: int) -> DataFrame:
         )
     )
     gathered = (
-        join_sized(pool, wanted.select(*SERIES, "bin", "central", "edge"), [*SERIES, "bin"])
+        pool.join(wanted.select(*SERIES, "bin", "central", "edge"), [*SERIES, "bin"])
         .groupBy(*SERIES, "value", "central", "edge")
         .agg(F.count("*").alias("cnt"))
         .groupBy(*SERIES)

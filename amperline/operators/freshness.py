@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from amperline.functions.clock import hours_between, instant
+from amperline.functions.numeric import shown
 
 
 @dataclass(frozen=True)
@@ -108,7 +109,7 @@ def source_freshness(
                 .when(F.col("age") <= F.col("fresh_within_hours"), "FRESH")
                 .when(F.col("age") <= F.col("stale_after_hours"), "DELAYED")
                 .otherwise("STALE"),
-                "age_hours": F.round("age", 2),
+                "age_hours": shown("age", 2),
             }
         )
         .drop("age")

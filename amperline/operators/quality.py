@@ -8,6 +8,8 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from amperline.functions.numeric import shown
+
 
 def layer_counts(spark, layers: Iterable[tuple[str, str, DataFrame | None]]) -> DataFrame:
     """Rows per (layer, dataset); a table that does not exist counts as NULL."""
@@ -33,7 +35,7 @@ def conservation(counts: DataFrame) -> DataFrame:
     rest = removed - failures
 
     def share(part: Column) -> Column:
-        return F.round(F.try_divide(part.cast("double"), bronze) * F.lit(100.0), 3)
+        return shown(F.try_divide(part.cast("double"), bronze) * F.lit(100.0), 3)
 
     known = bronze.isNotNull() & silver.isNotNull()
     state = (

@@ -8,6 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from amperline.functions.clock import hours_between, instant, seconds_between
+from amperline.functions.numeric import shown
 from amperline.operators.baseline import exact_median
 
 RUN_COLUMNS = (
@@ -47,7 +48,7 @@ LEARNED_LIMIT_BOUNDS = (60.0, 3600.0)
 
 def throughput(records: Column, seconds: Column) -> Column:
     """Records per second; NULL unless both are known and time has passed."""
-    return F.when(seconds > 0, F.round(records / seconds, 3))
+    return F.when(seconds > 0, shown(records / seconds, 3))
 
 
 def records_from_marker(line: Column) -> Column:
@@ -139,7 +140,7 @@ def learned_limits(runs: DataFrame) -> DataFrame:
     return (
         exact_median(good, "stage", "duration_seconds")
         .where(F.col("n") >= MIN_RUNS_FOR_LEARNED_LIMIT)
-        .select("stage", F.round(limit, 3).alias("learned_limit"))
+        .select("stage", shown(limit, 3).alias("learned_limit"))
     )
 
 
@@ -163,10 +164,10 @@ def stage_sla(runs: DataFrame, now, targets: tuple[StageTarget, ...] = STAGE_TAR
                 ).otherwise("configured_fallback"),
                 "success_age_hours": F.when(
                     F.col("last_success_at").isNotNull(),
-                    F.round(hours_between(F.col("last_success_at"), moment), 3),
+                    shown(hours_between(F.col("last_success_at"), moment), 3),
                 ),
                 "current_runtime_seconds": F.when(
-                    status == "STARTED", F.round(seconds_between(started, moment), 3)
+                    status == "STARTED", shown(seconds_between(started, moment), 3)
                 ).otherwise(F.col("latest_duration_seconds")),
             }
         )

@@ -13,10 +13,11 @@ from amperline.functions.numeric import (
     gap_pct,
     robust_score,
     severity,
+    shown,
     weighted_score,
 )
 from amperline.operators.baseline import baselines
-from amperline.session import durable, join_sized
+from amperline.session import durable
 
 COMPONENTS = {
     "demand": "demand_mwh",
@@ -89,7 +90,7 @@ def with_baselines(
         else position < F.col("oldest")
     )
     history = _long(
-        join_sized(base, oldest, ["respondent"]).where(older), components
+        base.join(oldest, "respondent").where(older), components
     ).where(F.col("value").isNotNull())
     found = baselines(_long(newest, components, "recency"), history, points)
     fields = ("points", "median", "mad", "mean", "stddev")
@@ -135,10 +136,10 @@ def grid_anomalies(grid: DataFrame, limit: int = 100) -> DataFrame:
             "generation_gap_pct",
             F.col("forecast_points").alias("history_points"),
             F.col("forecast_median").alias("forecast_baseline_pct"),
-            F.round(scores["forecast"], 2).alias("forecast_deviation_score"),
+            shown(scores["forecast"], 2).alias("forecast_deviation_score"),
             F.col("generation_median").alias("generation_baseline_pct"),
-            F.round(scores["generation"], 2).alias("generation_deviation_score"),
-            F.round("risk", 1).alias("risk_score"),
+            shown(scores["generation"], 2).alias("generation_deviation_score"),
+            shown("risk", 1).alias("risk_score"),
             severity(F.col("risk")).alias("severity"),
         )
     )
@@ -160,13 +161,13 @@ def _regional_columns(scores: dict[str, Column], baseline: Column) -> list:
         "net_generation_mwh",
         "total_interchange_mwh",
         baseline.alias("demand_baseline_mwh"),
-        F.round(versus, 2).alias("demand_vs_baseline_pct"),
-        F.round(change_pct(demand, F.col("previous_demand")), 2).alias("demand_change_pct"),
+        shown(versus, 2).alias("demand_vs_baseline_pct"),
+        shown(change_pct(demand, F.col("previous_demand")), 2).alias("demand_change_pct"),
         "forecast_error_pct",
         "generation_gap_pct",
         F.col("demand_points").alias("history_points"),
-        *[F.round(scores[name], 2).alias(f"{name}_deviation_score") for name in COMPONENTS],
-        F.round(pressure, 1).alias("pressure_score"),
+        *[shown(scores[name], 2).alias(f"{name}_deviation_score") for name in COMPONENTS],
+        shown(pressure, 1).alias("pressure_score"),
         severity(pressure).alias("severity"),
     ]
 
@@ -207,7 +208,7 @@ def regional_timeline(grid: DataFrame, hours: int = 168) -> DataFrame:
         name: _score(name, high_only=name == "demand", clamp_low=True) for name in COMPONENTS
     }
     return scored.select(
-        *_regional_columns(scores, F.round("demand_median", 2)),
+        *_regional_columns(scores, shown("demand_median", 2)),
         F.coalesce("contains_replay", F.lit(False)).alias("contains_replay"),
     ).orderBy("period", "region")
 

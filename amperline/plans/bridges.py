@@ -26,6 +26,15 @@ def table(spark: SparkSession, sf: str, name: str) -> DataFrame:
     return use_utc(spark).read.parquet(f"{sf}/{name}.parquet")
 
 
+def spread(frame: DataFrame, *keys: str) -> DataFrame:
+    """Split input that arrives in fewer pieces than there are cores.
+
+    The test tables are single files; tables of many files pass through as is.
+    """
+    cores = frame.sparkSession.sparkContext.defaultParallelism
+    return frame.repartition(cores, *keys) if frame.rdd.getNumPartitions() < cores else frame
+
+
 def hits(column: str, divisor: int, remainder: int) -> Column:
     return F.col(column) % divisor == remainder
 
@@ -44,7 +53,7 @@ def lookup(column: str, choices: dict[str, str]) -> Column:
 
 def metric_events(spark: SparkSession, sf: str) -> DataFrame:
     """Events read as electricity observations."""
-    events = table(spark, sf, "events")
+    events = spread(table(spark, sf, "events"), "event_id")
     return events.select(
         "event_id",
         F.col("ts").cast("timestamp").alias("ts"),
@@ -152,7 +161,7 @@ def bronze_rows(rows: DataFrame, source: str, dataset: str, event_type: str, pay
 
 def weather_rows(spark: SparkSession, sf: str) -> DataFrame:
     """Line items read as forecasts at their supplier's nation."""
-    lines = table(spark, sf, "lineitem")
+    lines = spread(table(spark, sf, "lineitem"), "l_orderkey", "l_linenumber", "l_partkey")
     suppliers = table(spark, sf, "supplier").select("s_suppkey", "s_nationkey")
     joined = lines.join(suppliers, F.col("l_suppkey") == F.col("s_suppkey"))
     shipped = F.col("l_shipdate").cast("timestamp")
@@ -226,7 +235,7 @@ def station_rows(spark: SparkSession, sf: str) -> DataFrame:
     places = table(spark, sf, "nation").join(
         table(spark, sf, "region"), F.col("n_regionkey") == F.col("r_regionkey")
     )
-    customers = table(spark, sf, "customer").join(
+    customers = spread(table(spark, sf, "customer"), "c_custkey").join(
         places, F.col("c_nationkey") == F.col("n_nationkey")
     )
     key = F.col("c_custkey")

@@ -13,6 +13,7 @@ from amperline.operators import (
     contracts,
     coverage,
     freshness,
+    gold,
     incidents,
     lineage,
     marts,
@@ -413,9 +414,14 @@ def freshness_counts(spark, sf):
     return freshness.freshness_counts(_signals(spark, sf))
 
 
+def _runs(spark, sf):
+    """The latest state of every run, stored because several parts read it."""
+    return durable(runs.latest_runs(b.run_states(spark, sf)))
+
+
 @query
 def run_latest(spark, sf):
-    latest = runs.latest_runs(b.run_states(spark, sf))
+    latest = _runs(spark, sf)
     return latest.withColumn("command", F.array_join("command", " "))
 
 
@@ -427,17 +433,17 @@ def run_recent(spark, sf):
 
 @query
 def run_summary(spark, sf):
-    return runs.run_summary(runs.latest_runs(b.run_states(spark, sf)))
+    return runs.run_summary(_runs(spark, sf))
 
 
 @query
 def stage_telemetry(spark, sf):
-    return runs.stage_telemetry(runs.latest_runs(b.run_states(spark, sf)))
+    return runs.stage_telemetry(_runs(spark, sf))
 
 
 @query
 def stage_sla(spark, sf):
-    return runs.stage_sla(runs.latest_runs(b.run_states(spark, sf)), b.NOW)
+    return runs.stage_sla(_runs(spark, sf), b.NOW)
 
 
 def _incidents(spark, sf):
@@ -461,7 +467,7 @@ def _nodes(spark, sf):
         signals,
         components,
         incidents.operational_incidents(signals, components),
-        runs.latest_runs(b.run_states(spark, sf)),
+        _runs(spark, sf),
         b.NOW,
     )
 
@@ -499,22 +505,31 @@ def worst_state(spark, sf):
 
 
 def _layer_counts(spark, sf):
-    bronze = b.electricity_bronze(spark, sf).unionByName(
-        b.weather_bronze(spark, sf), allowMissingColumns=True
-    ).unionByName(b.station_bronze(spark, sf), allowMissingColumns=True)
-    routed = [spec.source for spec in typed.TYPED_SOURCES]
+    """Counts over layers that are stored one after the other, as the jobs do."""
+    bronze = durable(
+        b.electricity_bronze(spark, sf)
+        .unionByName(b.weather_bronze(spark, sf), allowMissingColumns=True)
+        .unionByName(b.station_bronze(spark, sf), allowMissingColumns=True)
+    )
+    candidates = {spec.source: typed.typed_candidates(bronze, spec) for spec in typed.TYPED_SOURCES}
+    silver = {
+        spec.source: durable(typed.latest_valid(candidates[spec.source], spec))
+        for spec in typed.TYPED_SOURCES
+    }
+    names = {"eia": "EIA Grid", "nws": "NWS Weather", "afdc": "AFDC EV"}
+    shapes = {
+        "eia": gold.hourly_grid,
+        "nws": gold.hourly_weather,
+        "afdc": gold.city_infrastructure,
+    }
     return quality.layer_counts(
         spark,
         [
             ("BRONZE", "All", bronze),
-            ("SILVER", "EIA Grid", b.electricity_silver(spark, sf)),
-            ("SILVER", "NWS Weather", b.weather_silver(spark, sf)),
-            ("SILVER", "AFDC EV", b.station_silver(spark, sf)),
-            ("GOLD", "EIA Grid", b.hourly_gold(spark, sf)),
-            ("GOLD", "NWS Weather", b.weather_gold(spark, sf)),
-            ("GOLD", "AFDC EV", b.city_gold(spark, sf)),
-            ("QUARANTINE", "All", quarantine_union(spark, sf)),
-            ("NOT_ROUTED", "All", bronze.where(~F.col("source").isin(*routed))),
+            *[("SILVER", names[source], frame) for source, frame in silver.items()],
+            *[("GOLD", names[source], shapes[source](silver[source])) for source in silver],
+            ("QUARANTINE", "All", typed.quarantined(candidates)),
+            ("NOT_ROUTED", "All", bronze.where(~F.col("source").isin(*names))),
         ],
     )
 

@@ -337,8 +337,15 @@ _MEASURES = {"d": "demand_mwh", "f": "err", "g": "gap"}
 
 def _history(entity: str, extra: str, pairs: str) -> str:
     """Every point of ``points`` with the statistics of its earlier points."""
+    # The median is the mean of the two middle values, so that amounts in cents
+    # are rounded the same way everywhere; median() interpolates instead.
+    sorted_values = "list_sort(list(h.{c}) FILTER (h.{c} IS NOT NULL))"
+    middle = (
+        f"({sorted_values}[(count(h.{{c}}) + 1) // 2] "
+        f"+ {sorted_values}[(count(h.{{c}}) + 2) // 2]) / 2"
+    )
     first = ", ".join(
-        f"count(h.{c}) AS {n}_n, median(h.{c}) AS {n}_med, avg(h.{c}) AS {n}_avg, "
+        f"count(h.{c}) AS {n}_n, {middle.format(c=c)} AS {n}_med, avg(h.{c}) AS {n}_avg, "
         f"stddev_samp(h.{c}) AS {n}_sd"
         for n, c in _MEASURES.items()
     )
@@ -365,8 +372,8 @@ joined AS (
   WHERE d_n >= 24)"""
 
 
-_SEVERITY = """CASE WHEN round({s}, 1) >= 90 THEN 'CRITICAL' WHEN round({s}, 1) >= 75 THEN 'HIGH'
-    WHEN round({s}, 1) >= 55 THEN 'ELEVATED' ELSE 'NORMAL' END"""
+_SEVERITY = """CASE WHEN round_even({s}, 1) >= 90 THEN 'CRITICAL' WHEN round_even({s}, 1) >= 75 THEN 'HIGH'
+    WHEN round_even({s}, 1) >= 55 THEN 'ELEVATED' ELSE 'NORMAL' END"""
 
 ANOMALIES = (
     LEDGER
@@ -385,8 +392,8 @@ anomalies AS (
   SELECT period, respondent, respondent_name, demand_mwh, demand_forecast_mwh,
     round(signed_error, 6) AS forecast_error_pct, round(gap, 6) AS generation_gap_pct,
     d_n AS history_points, round(f_med, 6) AS forecast_baseline_pct,
-    round(fz, 2) AS forecast_deviation_score, round(g_med, 6) AS generation_baseline_pct,
-    round(gz, 2) AS generation_deviation_score, round(score, 1) AS risk_score,
+    round_even(fz, 2) AS forecast_deviation_score, round(g_med, 6) AS generation_baseline_pct,
+    round_even(gz, 2) AS generation_deviation_score, round_even(score, 1) AS risk_score,
     {_SEVERITY.format(s="score")} AS severity
   FROM risk ORDER BY score DESC, period DESC, respondent LIMIT 100)"""
 )
@@ -408,22 +415,19 @@ regions AS (
     demand_forecast_mwh, round(net_generation_mwh, 4) AS net_generation_mwh,
     round(total_interchange_mwh, 4) AS total_interchange_mwh,
     {baseline} AS demand_baseline_mwh,
-    round((demand_mwh - d_med) * CAST(100 AS DOUBLE) / d_med, 2) AS demand_vs_baseline_pct,
-    round((demand_mwh - previous) * CAST(100 AS DOUBLE) / previous, 2) AS demand_change_pct,
+    round_even((demand_mwh - d_med) * CAST(100 AS DOUBLE) / d_med, 2) AS demand_vs_baseline_pct,
+    round_even((demand_mwh - previous) * CAST(100 AS DOUBLE) / previous, 2) AS demand_change_pct,
     round(err, 4) AS forecast_error_pct, round(gap, 4) AS generation_gap_pct,
-    d_n AS history_points, round(dz, 2) AS demand_deviation_score,
-    round(fz, 2) AS forecast_deviation_score, round(gz, 2) AS generation_deviation_score,
-    round(score, 1) AS pressure_score, {_SEVERITY.format(s="score")} AS severity,
+    d_n AS history_points, round_even(dz, 2) AS demand_deviation_score,
+    round_even(fz, 2) AS forecast_deviation_score, round_even(gz, 2) AS generation_deviation_score,
+    round_even(score, 1) AS pressure_score, {_SEVERITY.format(s="score")} AS severity,
     contains_replay
   FROM pressure)"""
     )
 
 
 SIGNALS = _regions("recency = 1", False, "round(d_med, 4)")
-# Rounded as decimals: a median of two amounts in cents ends in exactly half a cent.
-TIMELINE = _regions(
-    "recency <= 48", True, "CAST(round(CAST(d_med AS DECIMAL(24,6)), 2) AS DOUBLE)"
-)
+TIMELINE = _regions("recency <= 48", True, "round_even(d_med, 2)")
 
 
 def _region_history(region: str) -> str:
@@ -475,7 +479,7 @@ runs AS (
   FROM pairs),
 run_rows AS (
   SELECT *, CASE WHEN duration_seconds > 0
-    THEN round(records_processed / duration_seconds, 3) END AS throughput_records_per_second
+    THEN round_even(records_processed / duration_seconds, 3) END AS throughput_records_per_second
   FROM runs),
 telemetry AS (
   SELECT r.stage, arg_max(run_id, started_at) AS latest_run_id,
@@ -504,14 +508,14 @@ targets(stage, display_name, fallback) AS (
     ('dbt_build', 'dbt Analytics Build', CAST(600 AS DOUBLE))),
 timed_sla AS (
   SELECT t.*, m.*, CAST(24 AS DOUBLE) AS max_success_age_hours,
-    CASE WHEN timed >= 3 THEN round(greatest(60, least(3600, med * 4)), 3) ELSE fallback END
+    CASE WHEN timed >= 3 THEN round_even(greatest(60, least(3600, med * 4)), 3) ELSE fallback END
       AS expected_max_runtime_seconds,
     CASE WHEN timed >= 3 THEN 'observed_median_x4' ELSE 'configured_fallback' END
       AS runtime_threshold_basis,
-    round(greatest(0, (epoch_us({NOW}) - epoch_us(last_success_at)) / CAST(3600000000 AS DOUBLE)),
-      3) AS success_age_hours,
+    round_even(greatest(0, (epoch_us({NOW}) - epoch_us(last_success_at))
+      / CAST(3600000000 AS DOUBLE)), 3) AS success_age_hours,
     CASE WHEN latest_status = 'STARTED'
-      THEN round(greatest(0, (epoch_us({NOW}) - epoch_us(latest_started_at))
+      THEN round_even(greatest(0, (epoch_us({NOW}) - epoch_us(latest_started_at))
         / CAST(1000000 AS DOUBLE)), 3)
       ELSE latest_duration_seconds END AS current_runtime_seconds
   FROM targets t LEFT JOIN (SELECT stage AS s, * EXCLUDE (stage) FROM telemetry) m
@@ -553,7 +557,7 @@ signals AS (
   SELECT source, display_name, dataset, latest_timestamp, timestamp_basis, fresh_within_hours,
     stale_after_hours, CASE WHEN age <= fresh_within_hours THEN 'FRESH'
       WHEN age <= stale_after_hours THEN 'DELAYED' ELSE 'STALE' END AS state,
-    round(age, 2) AS age_hours FROM aged)"""
+    round_even(age, 2) AS age_hours FROM aged)"""
 )
 
 COMPONENTS = """
@@ -921,8 +925,8 @@ totals AS (
     CAST(sum(rows) FILTER (layer = 'NOT_ROUTED') AS BIGINT) AS not_routed_rows FROM layers)""",
         "SELECT *, bronze_rows - silver_rows AS removed_before_silver, "
         "'BALANCED' AS conservation_state, "
-        "round(silver_rows / CAST(bronze_rows AS DOUBLE) * 100, 3) AS silver_retention_pct, "
-        "round(failure_rows / CAST(bronze_rows AS DOUBLE) * 100, 3) AS quality_failure_pct, "
+        "round_even(silver_rows / CAST(bronze_rows AS DOUBLE) * 100, 3) AS silver_retention_pct, "
+        "round_even(failure_rows / CAST(bronze_rows AS DOUBLE) * 100, 3) AS quality_failure_pct, "
         "bronze_rows - silver_rows - failure_rows AS deduplicated_rows, 'MEASURED' AS status "
         "FROM totals",
     ),

@@ -1,4 +1,4 @@
-"""Session set-up and the two helpers that depend on where Spark runs."""
+"""Session set-up and the helpers that depend on where Spark runs."""
 
 from __future__ import annotations
 
@@ -6,7 +6,6 @@ import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 SESSION_SETTINGS = {
     "spark.sql.session.timeZone": "UTC",
@@ -34,49 +33,33 @@ def use_utc(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def _checkpoint_dir(spark: SparkSession) -> None:
-    """Use the shared folder the session names; a local one only in local mode."""
+def shared_folder(spark: SparkSession) -> str:
+    """The folder every executor can reach; a local one only in local mode."""
     context = spark.sparkContext
-    if context.getCheckpointDir() is not None:
-        return
-    shared = spark.conf.get("spark.checkpoint.dir", None)
-    if shared is None:
-        if not context.master.startswith("local"):
-            raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
-        shared = tempfile.mkdtemp(prefix="amperline-checkpoint-")
-    context.setCheckpointDir(shared)
+    current = context.getCheckpointDir()
+    if current is None:
+        shared = spark.conf.get("spark.checkpoint.dir", None)
+        if shared is None:
+            if not context.master.startswith("local"):
+                raise RuntimeError("spark.checkpoint.dir must name a shared folder on a cluster")
+            shared = tempfile.mkdtemp(prefix="amperline-")
+        context.setCheckpointDir(shared)
+        current = context.getCheckpointDir()
+    return current.rstrip("/")
 
 
-def durable(frame: DataFrame) -> DataFrame:
-    """Store a frame reliably and read it back.
-
-    Used for small per-series tables that several later steps must see with
-    identical values, also after an executor is lost.
-    """
-    _checkpoint_dir(frame.sparkSession)
-    return frame.checkpoint()
+def scratch_folder(spark: SparkSession) -> str:
+    """A new, unused folder for tables that live as long as a job."""
+    return f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
 
 
-def join_sized(
-    large: DataFrame,
-    small: DataFrame,
-    on: list[str],
-    how: str = "inner",
-    broadcast_rows: int = 200_000,
-) -> DataFrame:
-    """Join a large side with a stored small side.
+def durable(frame: DataFrame) -> DataFrame:
+    """Write a frame to the shared folder and read it back.
 
-    ``small`` must be cheap to count (a ``durable`` frame). It is broadcast only
-    when it has at most ``broadcast_rows`` rows; beyond that Spark shuffles and
-    AQE splits skewed partitions.
+    Several later steps then see identical values, also after an executor is
+    lost, and nothing upstream runs twice. The stored size is known to Catalyst,
+    so joins with the table are broadcast only below the configured threshold.
     """
-    if small.limit(broadcast_rows + 1).count() <= broadcast_rows:
-        small = F.broadcast(small)
-    return large.join(small, on, how)
-
-
-def scratch_folder(spark: SparkSession) -> str:
-    """A new folder beside the checkpoints, visible to every executor."""
-    _checkpoint_dir(spark)
-    base = spark.sparkContext.getCheckpointDir()
-    return f"{base.rstrip('/')}/scratch-{uuid.uuid4().hex}"
+    path = scratch_folder(frame.sparkSession)
+    frame.write.parquet(path)
+    return frame.sparkSession.read.schema(frame.schema).parquet(path)
