@@ -15,10 +15,10 @@ SEVERITY_CUTS = (("CRITICAL", 90.0), ("HIGH", 75.0), ("ELEVATED", 55.0))
 
 
 def shown(value: Column | str, digits: int) -> Column:
-    """Round the binary value, ties to even.
+    """Round for display: scale, round ties to even, scale back.
 
-    ``F.round`` works on the shortest decimal text instead and turns 2.675 into
-    2.68 although the stored number is below the tie.
+    ``F.round`` works on the shortest decimal text instead and moves a stored
+    number just below a tie upwards, as in 9260761.405 to 9260761.41.
     """
     scale = F.lit(10.0**digits)
     return F.rint((F.col(value) if isinstance(value, str) else value) * scale) / scale

@@ -210,9 +210,9 @@ def contract_from_mapping(source: str, loaded: dict) -> Contract:
 
 
 def _whole_number(name: str) -> Column:
-    """Metadata number when it is written as a JSON integer."""
-    value = F.get_json_object("metadata", f"$.{name}")
-    return F.when(value.rlike(r"^-?\d+$"), value.try_cast("long"))
+    """Metadata number when it is written as a JSON integer, not as text."""
+    written = F.col("metadata").rlike(rf'"{name}"\s*:\s*-?\d+\s*[,}}]')
+    return F.when(written, F.get_json_object("metadata", f"$.{name}").try_cast("long"))
 
 
 def snapshot_rules(contract: Contract) -> list[Rule]:

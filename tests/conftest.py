@@ -12,8 +12,10 @@ from amperline.session import build_session  # noqa: E402
 def spark(tmp_path_factory):
     session = build_session(
         "tests",
-        "local[8]",
+        "local[4]",
         spark__sql__shuffle__partitions="4",
+        # Compiling a plan takes longer than running it on a handful of rows.
+        spark__sql__codegen__wholeStage="false",
         spark__ui__enabled="false",
         spark__driver__memory="4g",
         spark__checkpoint__dir=str(tmp_path_factory.mktemp("shared")),
