@@ -35,7 +35,7 @@ cloudpickle.register_pickle_by_value(sys.modules[__name__])
 SERIES = ["series", "component"]
 BINS_PER_LOG_UNIT = 1024
 SPLITS = 1024
-MAX_GATHERED_VALUES = 100_000
+MAX_GATHERED_VALUES = 20_000
 MARGIN = 1e-9
 
 _RESULT = (

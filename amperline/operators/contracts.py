@@ -14,6 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from amperline.functions.clock import parse_hour
+from amperline.functions.parsing import parsed_once
 from amperline.functions.rules import Rule, first_failure
 
 _METADATA = ("source", "dataset", "schema_version", "run_id", "ingested_at", "record_count")
@@ -35,9 +36,14 @@ class Contract:
     by_state: bool = False
 
 
+def with_fields(records: DataFrame) -> DataFrame:
+    """Add ``fields``, the record's JSON object as a map of texts."""
+    return records.select("*", parsed_once("record", "MAP<STRING, STRING>").alias("fields"))
+
+
 def raw(name: str) -> Column:
     """Field of the record as text; NULL when absent or JSON null."""
-    return F.get_json_object("record", f"$['{name}']")
+    return F.try_element_at("fields", F.lit(name))
 
 
 def _text_missing(name: str) -> Column:
@@ -244,8 +250,8 @@ def record_violations(records: DataFrame, contract: Contract) -> DataFrame:
     ``query_state``.
     """
     expected = F.array(*[F.lit(name) for name in contract.fields])
-    actual = F.json_object_keys("record")
-    checked = records.withColumns(
+    actual = F.map_keys("fields")
+    checked = with_fields(records).withColumns(
         {
             "missing_fields": F.array_join(F.array_sort(F.array_except(expected, actual)), ", "),
             "unknown_fields": F.array_join(F.array_sort(F.array_except(actual, expected)), ", "),
@@ -267,9 +273,8 @@ def record_violations(records: DataFrame, contract: Contract) -> DataFrame:
 def key_counts(records: DataFrame, contract: Contract) -> DataFrame:
     """Copies of every unique key inside each snapshot."""
     parts = [F.coalesce(raw(name), F.lit("None")) for name in contract.unique_key]
-    return records.groupBy("snapshot", F.to_json(F.array(*parts)).alias("unique_key")).agg(
-        F.count("*").alias("copies")
-    )
+    key = F.to_json(F.array(*parts)).alias("unique_key")
+    return with_fields(records).groupBy("snapshot", key).agg(F.count("*").alias("copies"))
 
 
 def validate_snapshots(
@@ -288,9 +293,11 @@ def validate_snapshots(
             "query_state": F.get_json_object("metadata", "$.query_state"),
         }
     )
-    judged = record_violations(
-        records.join(described.select("snapshot", "query_state"), "snapshot"), contract
-    )
+    if contract.by_state:
+        keyed = records.join(described.select("snapshot", "query_state"), "snapshot")
+    else:
+        keyed = records.withColumn("query_state", F.lit(None).cast("string"))
+    judged = record_violations(keyed, contract)
     per_record = judged.groupBy("snapshot").agg(
         F.count("*").alias("record_count"),
         F.min(
@@ -344,7 +351,7 @@ def gate(
 
 def normalised_electricity(records: DataFrame) -> DataFrame:
     """Typed electricity records: trimmed text, lower-case units, numeric value."""
-    return records.select(
+    return with_fields(records).select(
         parse_hour(raw("period")).alias("period"),
         F.trim(raw("respondent")).alias("respondent"),
         F.trim(raw("respondent-name")).alias("respondent_name"),
@@ -353,3 +360,47 @@ def normalised_electricity(records: DataFrame) -> DataFrame:
         raw("value").try_cast("double").alias("value"),
         F.lower(F.trim(raw("value-units"))).alias("value_units"),
     )
+
+
+def normalised_weather(records: DataFrame) -> DataFrame:
+    """Typed forecast records with trimmed text."""
+    numbers = (
+        "latitude",
+        "longitude",
+        "temperature",
+        "precipitation_probability",
+        "relative_humidity",
+    )
+    texts = ("temperature_unit", "wind_speed", "wind_direction", "short_forecast")
+    return with_fields(records).select(
+        *[F.try_to_timestamp(raw(name)).alias(name) for name in ("period_start", "period_end")],
+        *[raw(name).try_cast("double").alias(name) for name in numbers],
+        *[F.trim(raw(name)).alias(name) for name in texts],
+    )
+
+
+def normalised_stations(records: DataFrame) -> DataFrame:
+    """Typed station records: trimmed text, upper-case state and country."""
+    trimmed = ("station_name", "city", "zip_code")
+    upper = ("state", "country")
+    kept = (
+        "street_address",
+        "fuel_type_code",
+        "access_code",
+        "status_code",
+        "ev_network",
+        "facility_type",
+    )
+    counts = ("ev_level1_evse_num", "ev_level2_evse_num", "ev_dc_fast_num")
+    connectors = F.from_json(raw("ev_connector_types"), "array<string>")
+    return with_fields(records).select(
+        raw("station_id").try_cast("long").alias("station_id"),
+        *[F.trim(raw(name)).alias(name) for name in trimmed],
+        *[F.upper(F.trim(raw(name))).alias(name) for name in upper],
+        *[raw(name).alias(name) for name in kept],
+        *[raw(name).try_cast("double").alias(name) for name in ("latitude", "longitude")],
+        *[raw(name).try_cast("int").alias(name) for name in counts],
+        F.coalesce(connectors, F.array().cast("array<string>")).alias("ev_connector_types"),
+        F.try_to_timestamp(raw("date_last_confirmed")).cast("date").alias("date_last_confirmed"),
+        F.try_to_timestamp(raw("updated_at")).alias("updated_at"),
+    )

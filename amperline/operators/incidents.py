@@ -104,3 +104,16 @@ def highest_severity(incidents: DataFrame) -> DataFrame:
     """Most severe level present; NORMAL without incidents."""
     top = F.max_by("severity", severity_rank(F.col("severity")))
     return incidents.agg(F.coalesce(top, F.lit("NORMAL")).alias("highest_severity"))
+
+
+def component_health(components: DataFrame) -> DataFrame:
+    """Healthy components, all components, and the state of the platform."""
+    status = F.lower(F.trim("status"))
+    return components.agg(
+        F.count_if(status == "healthy").alias("healthy_components"),
+        F.count("*").alias("components"),
+        F.when(F.count_if(status == "unhealthy") > 0, "unhealthy")
+        .when(F.count_if(status == "degraded") > 0, "degraded")
+        .otherwise("healthy")
+        .alias("platform_state"),
+    )

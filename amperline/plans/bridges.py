@@ -182,8 +182,8 @@ def weather_rows(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def weather_bronze(spark: SparkSession, sf: str) -> DataFrame:
-    rows = weather_rows(spark, sf)
+def weather_payload() -> Column:
+    """Forecast payload of a weather row, with defects."""
     no_length = (F.col("l_linenumber") == 7) & (F.col("l_discount") == 0.1)
     end = F.when(no_length, F.col("start")).otherwise(F.col("start") + F.expr("INTERVAL 1 HOUR"))
     unit = (
@@ -193,7 +193,7 @@ def weather_bronze(spark: SparkSession, sf: str) -> DataFrame:
     )
     wet = (F.col("l_linenumber") == 5) & (F.col("l_quantity") == 50)
     silent = (F.col("l_linenumber") == 3) & (F.col("l_quantity") == 1)
-    payload = F.struct(
+    return F.struct(
         "latitude",
         "longitude",
         iso("start").alias("period_start"),
@@ -208,7 +208,16 @@ def weather_bronze(spark: SparkSession, sf: str) -> DataFrame:
         F.col("l_returnflag").alias("wind_direction"),
         F.when(silent, F.lit("")).otherwise(F.col("l_linestatus")).alias("short_forecast"),
     )
-    return bronze_rows(rows, "nws", "nws_hourly_forecast", "nws.forecast.hourly", payload)
+
+
+def weather_bronze(spark: SparkSession, sf: str) -> DataFrame:
+    return bronze_rows(
+        weather_rows(spark, sf),
+        "nws",
+        "nws_hourly_forecast",
+        "nws.forecast.hourly",
+        weather_payload(),
+    )
 
 
 def weather_candidates(spark: SparkSession, sf: str) -> DataFrame:
@@ -486,6 +495,27 @@ def landed_snapshots(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame
     return counted.select("snapshot", F.to_json(metadata).alias("metadata")), records
 
 
+def payload_records(rows: DataFrame, payload: Column, query_state: Column) -> DataFrame:
+    """Rows as landed records, NULL fields written out."""
+    return rows.select(
+        F.col("partition_key").alias("snapshot"),
+        F.col("offset").alias("position"),
+        F.to_json(payload, {"ignoreNullFields": "false"}).alias("record"),
+        query_state.alias("query_state"),
+    )
+
+
+def weather_records(spark: SparkSession, sf: str) -> DataFrame:
+    return payload_records(
+        weather_rows(spark, sf), weather_payload(), F.lit(None).cast("string")
+    )
+
+
+def station_records(spark: SparkSession, sf: str) -> DataFrame:
+    payload = F.struct(*_station_payload("station_id", "zip_code"))
+    return payload_records(station_rows(spark, sf), payload, F.substring("r_name", 1, 2))
+
+
 # provider responses ---------------------------------------------------------------
 
 

@@ -796,3 +796,34 @@ def decoded_records(spark, sf):
     return decode_records(b.raw_topic(spark, sf)).select(
         "topic", "partition", "offset", "kafka_timestamp", "kafka_key"
     )
+
+
+def _violations(records, contract):
+    judged = contracts.record_violations(records, contract)
+    return judged.where(F.col("reason").isNotNull()).select("snapshot", "position", "reason")
+
+
+@query
+def contract_violations_weather(spark, sf):
+    return _violations(b.weather_records(spark, sf), contracts.WEATHER_CONTRACT)
+
+
+@query
+def contract_violations_stations(spark, sf):
+    return _violations(b.station_records(spark, sf), contracts.STATION_CONTRACT)
+
+
+@query
+def normalised_weather(spark, sf):
+    return contracts.normalised_weather(b.weather_records(spark, sf))
+
+
+@query
+def normalised_stations(spark, sf):
+    normal = contracts.normalised_stations(b.station_records(spark, sf))
+    return normal.withColumn("ev_connector_types", F.array_join("ev_connector_types", ","))
+
+
+@query
+def component_health(spark, sf):
+    return incidents.component_health(b.component_states(spark, sf))

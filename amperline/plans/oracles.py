@@ -1019,6 +1019,47 @@ both_records AS (
     ),
 }
 
+ORACLES["contract_violations_weather"] = _with(
+    WEATHER,
+    "SELECT * FROM (SELECT 'nation-' || s_nationkey AS snapshot, off AS position, "
+    "CASE WHEN short_forecast = '' THEN 'empty_short_forecast' "
+    "WHEN period_end <= period_start THEN 'invalid_forecast_interval' END AS reason "
+    "FROM wx_typed) WHERE reason IS NOT NULL",
+)
+ORACLES["contract_violations_stations"] = _with(
+    STATIONS,
+    "SELECT * FROM (SELECT r_name AS snapshot, off AS position, "
+    "CASE WHEN key % 89 = 1 THEN 'invalid_fuel_type_code' "
+    "WHEN key % 83 = 2 THEN 'invalid_access_code' WHEN key % 79 = 4 THEN 'invalid_status_code' "
+    "WHEN key % 6 = 0 THEN 'invalid_ev_connector_types' "
+    "WHEN key % 97 = 3 THEN 'state_mismatch' END AS reason FROM ev_typed) "
+    "WHERE reason IS NOT NULL",
+)
+ORACLES["normalised_weather"] = _with(
+    WEATHER,
+    "SELECT period_start, period_end, latitude, longitude, l_quantity AS temperature, "
+    "precipitation_probability, relative_humidity, temperature_unit, wind_speed, "
+    "l_returnflag AS wind_direction, short_forecast FROM wx_typed",
+)
+ORACLES["normalised_stations"] = _with(
+    STATIONS,
+    "SELECT key AS station_id, c_name AS station_name, city, zip_code, upper(state) AS state, "
+    "'US' AS country, key || ' Main St' AS street_address, "
+    "CASE WHEN key % 89 = 1 THEN 'LPG' ELSE 'ELEC' END AS fuel_type_code, "
+    "CASE WHEN key % 83 = 2 THEN 'private' ELSE 'public' END AS access_code, "
+    "CASE WHEN key % 79 = 4 THEN 'P' ELSE 'E' END AS status_code, ev_network, "
+    "'GARAGE' AS facility_type, latitude, longitude, ev_level1_evse_num, ev_level2_evse_num, "
+    "ev_dc_fast_num, CASE WHEN key % 6 <> 0 THEN 'J1772,TESLA' ELSE '' END AS ev_connector_types, "
+    "CAST(updated_at AS DATE) AS date_last_confirmed, updated_at FROM ev_typed",
+)
+ORACLES["component_health"] = _with(
+    COMPONENTS,
+    "SELECT count(*) FILTER (status = 'healthy') AS healthy_components, "
+    "count(*) AS components, CASE WHEN bool_or(status = 'unhealthy') THEN 'unhealthy' "
+    "WHEN bool_or(status = 'degraded') THEN 'degraded' ELSE 'healthy' END AS platform_state "
+    "FROM components",
+)
+
 
 def _generic_tests() -> str:
     """Violation counts of the column tests, one row per test."""

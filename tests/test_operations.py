@@ -183,6 +183,8 @@ def test_incidents(spark):
     assert found[1].title == "Kafka Consumer is degraded"
     assert found[0].evidence == "down. Observed latency: 12.3 ms."
     assert found[2].evidence.startswith("Latest signal is 30.0h old.")
+    health = incidents.component_health(parts).first()
+    assert tuple(health) == (1, 4, "unhealthy")
     top = incidents.highest_severity(incidents.operational_incidents(signals, parts))
     assert top.first()[0] == "CRITICAL"
 

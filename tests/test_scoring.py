@@ -227,3 +227,15 @@ def test_no_task_holds_a_whole_series(spark):
     rows = mart(spark, series("A", "region", steady(60)))
     plan = scoring.regional_timeline(rows, 24)._jdf.queryExecution().optimizedPlan().toString()
     assert "percentile" not in plan and "collect_list(period" not in plan
+
+
+def test_newest_rows_are_limited_before_the_shuffle(spark):
+    rows = mart(spark, series("A", "region", steady(60)))
+    rows.createOrReplaceTempView("rows_to_rank")
+    ranked = spark.sql(
+        "SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY respondent "
+        "ORDER BY period DESC, respondent_name DESC) AS recency FROM rows_to_rank) "
+        "WHERE recency <= 721"
+    )
+    plan = ranked._jdf.queryExecution().executedPlan().toString()
+    assert plan.count("WindowGroupLimit") == 2
