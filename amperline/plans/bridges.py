@@ -341,23 +341,34 @@ def ledger_mart(spark: SparkSession, sf: str) -> DataFrame:
         F.struct(F.lit("WORLD").alias("code"), F.lit("national").alias("kind")),
     )
     price = F.col("o_totalprice").cast(money)
-    monthly = (
+    by_nation = (
         orders.join(lines, "o_orderkey", "left")
         .join(customers, F.col("o_custkey") == F.col("c_custkey"))
         .join(places, F.col("c_nationkey") == F.col("n_nationkey"))
-        .select("*", F.explode(entities).alias("entity"))
         .groupBy(
             F.date_trunc("month", F.col("o_orderdate").cast("timestamp")).alias("period"),
+            "n_name",
+            "r_name",
+        )
+        .agg(
+            F.sum(price).alias("price"),
+            F.sum(F.when(F.col("o_orderstatus").isin("F", "O"), price)).alias("settled"),
+            F.sum("shipped").alias("shipped"),
+            F.bool_or(F.col("o_orderpriority") == "1-URGENT").alias("urgent"),
+        )
+    )
+    monthly = (
+        by_nation.select("*", F.explode(entities).alias("entity"))
+        .groupBy(
+            "period",
             F.col("entity.code").alias("respondent"),
             F.col("entity.kind").alias("entity_type"),
         )
         .agg(
-            F.sum(price).cast("double").alias("demand_mwh"),
-            (
-                F.sum(F.when(F.col("o_orderstatus").isin("F", "O"), price)).cast("double") * 1.5
-            ).alias("demand_forecast_mwh"),
+            F.sum("price").cast("double").alias("demand_mwh"),
+            (F.sum("settled").cast("double") * 1.5).alias("demand_forecast_mwh"),
             F.sum("shipped").cast("double").alias("net_generation_mwh"),
-            F.bool_or(F.col("o_orderpriority") == "1-URGENT").alias("contains_replay"),
+            F.bool_or("urgent").alias("contains_replay"),
         )
     )
     measured = monthly.withColumns(
