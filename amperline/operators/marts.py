@@ -215,8 +215,11 @@ def city_rankings(gold: DataFrame) -> DataFrame:
     """City infrastructure with state and national positions."""
     stations, ports = F.col("station_count").desc(), F.col("total_known_ports").desc()
     city, state = F.col("city").asc_nulls_last(), F.col("state").asc_nulls_last()
-    keyed = staged_cities(gold).withColumn(
-        "city_state_key", joined_key(F.col("city"), F.col("state"), F.col("country"))
+    # Range partitioning samples its input first, so the small table is stored.
+    keyed = durable(
+        staged_cities(gold).withColumn(
+            "city_state_key", joined_key(F.col("city"), F.col("state"), F.col("country"))
+        )
     )
     by_state = row_number_by_range(
         keyed, "state_station_rank", [stations, ports, city], groups=("state",)

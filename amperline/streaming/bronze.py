@@ -15,11 +15,13 @@ from amperline.sources.tables import LAYERS, table_path
 
 def _replace_batch(frame: DataFrame, root: str, name: str, batch_id: int) -> None:
     """Write one micro-batch; a repeated batch replaces its own files."""
+    partitions = LAYERS[name].partitions
     (
         frame.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        .hint("rebalance", *[F.col(column) for column in partitions])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
-        .partitionBy(*LAYERS[name].partitions)
+        .partitionBy(*partitions)
         .parquet(table_path(root, name))
     )
 
@@ -34,6 +36,11 @@ def bronze_batch(
 
     def process(batch: DataFrame, batch_id: int) -> None:
         parsed = batch.persist()
+        # Streaming plans run without adaptive execution. The writes below are
+        # plain batch jobs and need it to split hot partitions and merge small ones.
+        conf = batch.sparkSession.conf
+        adaptive = conf.get("spark.sql.adaptive.enabled")
+        conf.set("spark.sql.adaptive.enabled", "true")
         try:
             valid, invalid = valid_envelopes(parsed), invalid_envelopes(parsed)
             if handler is not None:
@@ -54,6 +61,7 @@ def bronze_batch(
                 .parquet(table_path(root, "dead_letters"))
             )
         finally:
+            conf.set("spark.sql.adaptive.enabled", adaptive)
             parsed.unpersist()
 
     return process
