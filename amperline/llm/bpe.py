@@ -103,21 +103,17 @@ class PairMerger:
         return counts
 
     def count(self, texts: list[str | None]) -> list[int]:
-        """Tokens of each text; a null text has none."""
-        totals = []
-        for text in texts:
-            total = 0
-            for part in _parts(text or ""):
-                words, marks = self.pre_tokens(part)
-                fresh = [w for w in set(words) if w not in self.known]
-                if fresh:
-                    if len(self.known) + len(fresh) > self.remembered:
-                        self.known.clear()
-                        fresh = list(set(words))
-                    self.known.update(zip(fresh, self.merge(fresh).tolist(), strict=True))
-                total += marks + sum(map(self.known.__getitem__, words))
-            totals.append(total)
-        return totals
+        """Tokens of each text; a null text has none. New pre-tokens of all texts are merged together."""
+        parts = [[self.pre_tokens(p) for p in _parts(text or "")] for text in texts]
+        seen = set().union(*(words for text in parts for words, _ in text))
+        fresh = seen.difference(self.known)
+        if fresh:
+            if len(self.known) + len(fresh) > self.remembered:
+                self.known.clear()
+                fresh = seen
+            self.known.update(zip(fresh, self.merge(list(fresh)).tolist(), strict=True))
+        count = self.known.__getitem__
+        return [sum(marks + sum(map(count, words)) for words, marks in text) for text in parts]
 
 
 def _parts(text: str, most: int = 1_000_000) -> Iterator[str]:
