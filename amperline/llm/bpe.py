@@ -16,6 +16,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -143,7 +144,7 @@ def count_tokens(docs: DataFrame, vocabulary: str, limit: int = 2048) -> DataFra
         merger = PairMerger(vocabulary)
         for batch in small_batches(batches, "text"):
             texts = batch.column("text").to_pylist()
-            sizes = pa.compute.fill_null(pa.compute.binary_length(batch.column("text")), 0)
+            sizes = pc.fill_null(pc.binary_length(batch.column("text")), 0)
             yield record_batch(schema, batch.column("doc_id"), sizes.cast(pa.int64()), merger.count(texts))
 
     narrow = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.col("text").cast("string").alias("text"))

@@ -34,3 +34,11 @@ def op8_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     from amperline.llm.bpe import count_tokens
 
     return count_tokens(table(spark, sf_dir, "documents"), public_tokenizers.path("word_bpe_49k.json"))
+
+
+@query
+def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity scores of all documents."""
+    from amperline.llm.toxicity import score_toxicity
+
+    return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
