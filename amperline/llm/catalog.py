@@ -42,3 +42,19 @@ def op3_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     from amperline.llm.toxicity import score_toxicity
 
     return score_toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query
+def op6_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Benchmark items contained in documents."""
+    from amperline.llm.containment import contaminated
+
+    return contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@query
+def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a mixture of all sources gives out over a budget of all words."""
+    from amperline.llm.mixing import mixture
+
+    return mixture(table(spark, sf_dir, "documents"))

@@ -14,7 +14,7 @@ from zlib import crc32
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from amperline.llm.common import fold, record_batch, small_batches
@@ -71,34 +71,38 @@ class TermBuckets(dict):
         return found
 
 
-def labelled(docs: DataFrame, labels: DataFrame, label: str, sample: int) -> DataFrame:
-    """Texts to learn from: labelled rows outside the held-out fold, at most about `sample` of them.
+def learning_rows(docs: DataFrame, labels: DataFrame, label: str, sample: int, width: int) -> DataFrame:
+    """Label and distinct hashed terms of labelled texts outside the held-out fold, about `sample` of them at most.
 
-    Rows are taken by a hash of their id, so a rerun learns from the same ones. The
-    share follows from the number of labels; below the bound every label is used.
+    Rows are taken by a hash of their id, so a rerun learns from the same ones, and
+    texts of other ids are not read into Python. The share follows from the number
+    of labels; below the bound every label is used. Hashed terms, not texts, are
+    shuffled to the labels.
     """
-    known = labels.select(F.col("doc_id").alias("_id"), F.col(label).cast("int").alias("label")).filter(
-        F.col("_id").isNotNull() & F.col(label).isin(0, 1) & (fold(F.col("_id"), 5) != 0)
-    )
-    known = known.groupBy("_id").agg(F.max("label").alias("label"))
+    known = labels.select(F.col("doc_id").cast("long").alias("_known"), F.col(label).cast("int").alias("label"))
+    known = known.filter(F.col("label").isin(0, 1) & (fold(F.col("_known"), 5) != 0))
+    known = known.groupBy("_known").agg(F.max("label").alias("label"))
     share = min(1.0, sample / max(1, known.count()))
-    if share < 1:
-        known = known.filter(F.pmod(F.xxhash64("_id"), F.lit(1_000_000)) < int(share * 1_000_000))
-    return docs.select(F.col("doc_id").alias("_id"), F.col("text").cast("string").alias("text")).join(known, "_id")
+
+    def taken(doc_id: Column) -> Column:
+        return (fold(doc_id, 5) != 0) & (F.pmod(F.xxhash64(doc_id), F.lit(1_000_000)) < int(share * 1_000_000))
+
+    narrow = docs.select(F.col("doc_id").cast("long").alias("_id"), F.col("text").cast("string").alias("text"))
+    terms = term_table(narrow.filter(taken(F.col("_id"))), width)
+    return terms.join(known.filter(taken(F.col("_known"))), F.col("id") == F.col("_known")).select("label", "terms")
 
 
 def term_table(texts: DataFrame, width: int) -> DataFrame:
-    """One row per labelled text: its distinct hashed terms and its label."""
-    schema = pa.schema([("id", pa.int64()), ("label", pa.int32()), ("terms", pa.list_(pa.int32()))])
+    """Distinct hashed terms of each text."""
+    schema = pa.schema([("id", pa.int64()), ("terms", pa.list_(pa.int32()))])
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         buckets = TermBuckets(width)
         for batch in small_batches(batches, "text"):
             terms = [sorted(buckets.of(t)) for t in batch.column("text").to_pylist()]
-            yield record_batch(schema, batch.column("_id"), batch.column("label"), terms)
+            yield record_batch(schema, batch.column("_id"), terms)
 
-    narrow = texts.select(F.col("_id").cast("long").alias("_id"), "text", "label")
-    return narrow.mapInArrow(hashed, "id long, label int, terms array<int>")
+    return texts.mapInArrow(hashed, "id long, terms array<int>")
 
 
 def telling_buckets(terms: DataFrame, texts: int, positive: int, least: int, most: int) -> list[int]:
@@ -121,7 +125,7 @@ def fit(
     docs: DataFrame,
     labels: DataFrame,
     label: str = "toxic",
-    sample: int = 50_000,
+    sample: int = 20_000,
     width: int = 1 << 20,
     terms: int = 2048,
     factors: int = 4,
@@ -135,7 +139,7 @@ def fit(
     give the same model. Without labels, or with one class only, the model is its
     bias.
     """
-    found = term_table(labelled(docs, labels, label, sample), width).cache()
+    found = learning_rows(docs, labels, label, sample, width).cache()
     try:
         size, positive = found.agg(F.count("*"), F.coalesce(F.sum("label"), F.lit(0))).first()
         if not 0 < positive < size:
