@@ -58,3 +58,19 @@ def op1_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     from amperline.llm.mixing import mixture
 
     return mixture(table(spark, sf_dir, "documents"))
+
+
+@query
+def op2_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without the lines of recurring templates."""
+    from amperline.llm.templates import line_dedup
+
+    return line_dedup(table(spark, sf_dir, "documents"))
+
+
+@query
+def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Main text of all pages."""
+    from amperline.llm.pages import extract_main_text
+
+    return extract_main_text(table(spark, sf_dir, "pages"))
