@@ -63,6 +63,10 @@ def tree_lines(docs: DataFrame, text: str, depth: int, nearby: int = 12) -> Data
     )
 
 
+def _at_place(at: Column, token: Column) -> Column:
+    return F.concat(at.cast("string"), F.lit(" "), token)
+
+
 def _in_places(found: DataFrame, *keys: str) -> DataFrame:
     """In how many different surroundings each key is found."""
     return found.select(*keys, "_place").distinct().groupBy(*keys).agg(F.count("*").alias("_places"))
@@ -86,20 +90,23 @@ def recurring_lines(docs: DataFrame, text: str, depth: int, least: int, alike: f
             "_token",
         )
         .filter(F.col("_places") >= least)
-        .select("_leaf", "_at", "_token", F.lit(True).alias("_constant"))
+        .groupBy("_leaf")
+        .agg(F.collect_set(_at_place(F.col("_at"), F.col("_token"))).alias("_constants"))
     )
-    spelled = near.select("_leaf", "_line").distinct()
-    fields = spelled.select("_leaf", "_line", F.posexplode(_tokens(F.col("_line"))).alias("_at", "_token")).join(
-        constants, ["_leaf", "_at", "_token"], "left"
-    )
-    parts = F.array_sort(
-        F.collect_list(F.struct("_at", F.when(F.col("_constant"), F.col("_token")).otherwise(FIELD).alias("_token")))
+    spelled = near.select("_leaf", "_line").distinct().join(constants, "_leaf")
+    parts = spelled.select(
+        "_leaf",
+        "_line",
+        F.transform(
+            _tokens(F.col("_line")),
+            lambda token, at: F.when(F.array_contains("_constants", _at_place(at, token)), token).otherwise(FIELD),
+        ).alias("_parts"),
     )
+    variable = F.size(F.filter("_parts", lambda x: x == FIELD))
     templates = durable(
-        fields.groupBy("_leaf", "_line")
-        .agg(parts.alias("_parts"), F.count("_constant").alias("_fixed"), F.count("*").alias("_size"))
-        .filter(F.col("_fixed") >= alike * F.col("_size"))
-        .select("_leaf", "_line", F.concat_ws(" ", F.transform("_parts", lambda p: p["_token"])).alias("_template"))
+        parts.filter(F.size("_parts") - variable >= alike * F.size("_parts")).select(
+            "_leaf", "_line", F.concat_ws(" ", "_parts").alias("_template")
+        )
     )
     placed = near.join(templates, ["_leaf", "_line"])
     known = _in_places(placed, "_leaf", "_template").filter(F.col("_places") >= least)
