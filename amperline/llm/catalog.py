@@ -74,3 +74,11 @@ def op9_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
     from amperline.llm.pages import extract_main_text
 
     return extract_main_text(table(spark, sf_dir, "pages"))
+
+
+@query
+def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of near duplicates of all documents."""
+    from amperline.llm.jaccard import near_duplicate_classes
+
+    return near_duplicate_classes(table(spark, sf_dir, "documents"))

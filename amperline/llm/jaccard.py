@@ -234,7 +234,7 @@ def _together(links: list[np.ndarray]) -> np.ndarray:
     return np.array([find(i) for i in range(len(links))])
 
 
-def verified_links(docs: DataFrame, pairs: DataFrame, width: int, least: float) -> DataFrame:
+def verified_links(docs: DataFrame, texts: DataFrame, pairs: DataFrame, width: int, least: float) -> DataFrame:
     """For each member of a group: its number of verified links there, and the member it hangs together with.
 
     Shingle sets are made from the texts of members only, once for each text.
@@ -260,9 +260,10 @@ def verified_links(docs: DataFrame, pairs: DataFrame, width: int, least: float)
             has = np.flatnonzero(count)
             yield record_batch(linked, [names[i] for i in has], count[has], [names[root[i]] for i in has])
 
-    needed = pairs.select("key").distinct()
-    one_each = docs.join(needed, "key", "left_semi").join(docs.groupBy("key").agg(F.min("row").alias("row")), ["key", "row"])
-    sets = one_each.select("key", "text").mapInArrow(shingles, "key binary, sorted binary")
+    # of equal texts the row of the smallest id is read; rows repeated as a whole give equal sets
+    needed = pairs.select("key").distinct().join(texts.select("key", F.col("doc_id").alias("reader")), "key")
+    readers = docs.join(needed, "key").filter(F.col("doc_id").eqNullSafe(F.col("reader")))
+    sets = readers.select("key", "text").mapInArrow(shingles, "key binary, sorted binary").dropDuplicates(["key"])
     return _by_group(pairs.join(sets, "key")).mapInArrow(verify, "key binary, links long, root binary")
 
 
@@ -320,9 +321,7 @@ def near_duplicates(
     texts = signed_texts(keyed, width)
     length = prefix_length(least, recall)
     pairs = durable(likely_pairs(shared_buckets(texts, length, block), texts, length, least))
-    # of equal texts the one with the smallest id is read; ids can be null or equal, so several rows may be
-    reading = keyed.withColumn("row", F.coalesce("doc_id", F.lit(-1).cast("long")))
-    found = durable(verified_links(reading, pairs, width, least))
+    found = durable(verified_links(keyed, texts, pairs, width, least))
     counts = found.groupBy("key").agg(F.sum("links").alias("links"))
     roots = components(found.select("key", "root"))
     nodes = texts.select("key", "doc_id", "copies").join(roots, "key", "left").join(counts, "key", "left")
