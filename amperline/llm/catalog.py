@@ -82,3 +82,11 @@ def op5_jaccard_join(spark: SparkSession, sf_dir: str) -> DataFrame:
     from amperline.llm.jaccard import near_duplicate_classes
 
     return near_duplicate_classes(table(spark, sf_dir, "documents"))
+
+
+@query
+def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents without byte strings that are found twice."""
+    from amperline.llm.repeats import repeated_bytes
+
+    return repeated_bytes(table(spark, sf_dir, "documents"))
