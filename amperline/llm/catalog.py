@@ -90,3 +90,11 @@ def op4_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     from amperline.llm.repeats import repeated_bytes
 
     return repeated_bytes(table(spark, sf_dir, "documents"))
+
+
+@query
+def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Language-model scores of all documents."""
+    from amperline.llm.katz import score_texts
+
+    return score_texts(table(spark, sf_dir, "documents"))

@@ -162,44 +162,58 @@ def repeated_starts(shards: DataFrame, batch_bytes: int) -> DataFrame:
     """Runs of repeated starts of each text: key, first and last start."""
     schema = pa.schema([("key", pa.binary()), ("first", pa.int64()), ("last", pa.int64())])
 
-    def solved(rows: list[tuple[bytes, int, bytes]]) -> pa.RecordBatch:
+    def solved(pieces: list[bytes], owners: list[set]) -> pa.RecordBatch:
         out: tuple[list, list, list] = ([], [], [])
-        for (key, start, _), hits in zip(rows, _starts_in([r[2] for r in rows]), strict=True):
+        for data, own, hits in zip(pieces, owners, _starts_in(pieces), strict=True):
+            if len(own) > 1:
+                hits = np.arange(len(data) - LENGTH + 1)
             if len(hits):
                 cuts = np.flatnonzero(np.diff(hits) != 1)
-                for first, last in zip(np.r_[hits[0], hits[cuts + 1]], np.r_[hits[cuts], hits[-1]], strict=True):
-                    out[0].append(key)
-                    out[1].append(start + int(first))
-                    out[2].append(start + int(last))
+                runs = list(zip(np.r_[hits[0], hits[cuts + 1]].tolist(), np.r_[hits[cuts], hits[-1]].tolist(), strict=True))
+                for key, start in own:
+                    for first, last in runs:
+                        out[0].append(key)
+                        out[1].append(start + first)
+                        out[2].append(start + last)
         return record_batch(schema, *out)
 
+    def known(data: bytes, own: set) -> pa.RecordBatch:
+        keys, starts = zip(*own, strict=True)
+        return record_batch(schema, keys, starts, [s + len(data) - LENGTH for s in starts])
+
     def sort_shards(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # shards are complete where the next one begins; several small ones are sorted as one text
-        ready: list[tuple] = []
-        shard: dict[tuple[bytes, int], tuple] = {}
+        # shards are complete where the next one begins; several small ones are sorted as one text;
+        # equal pieces of a shard are sorted once, and not at all if the shard has no other
+        pieces: list[bytes] = []
+        owners: list[set] = []
+        shard: dict[bytes, set] = {}
         current, held = None, 0
         for batch in batches:
             for row in batch.to_pylist():
                 if row["shard"] != current:
                     if len(shard) > 1:
-                        ready += shard.values()
-                        held += sum(len(r[2]) for r in shard.values())
+                        pieces += shard.keys()
+                        owners += shard.values()
+                        held += sum(map(len, shard))
+                    for data, own in shard.items() if len(shard) == 1 else ():
+                        if len(own) > 1:
+                            yield known(data, own)
                     shard, current = {}, row["shard"]
                     if held > batch_bytes:
-                        yield solved(ready)
-                        ready, held = [], 0
-                # a text whose row is repeated sends the same bytes twice
-                shard[row["key"], row["start"]] = (row["key"], row["start"], row["data"])
-        if len(shard) > 1:
-            ready += shard.values()
-        if ready:
-            yield solved(ready)
+                        yield solved(pieces, owners)
+                        pieces, owners, held = [], [], 0
+                # a text whose row is repeated sends the same place twice
+                shard.setdefault(row["data"], set()).add((row["key"], row["start"]))
+        pieces += shard.keys()
+        owners += shard.values()
+        if pieces:
+            yield solved(pieces, owners)
 
     placed = shards.repartition("shard").sortWithinPartitions("shard")
     return placed.mapInArrow(sort_shards, "key binary, first long, last long")
 
 
-def remove_repeats(docs: DataFrame, most: int = 4096, batch_bytes: int = 4_000_000) -> DataFrame:
+def remove_repeats(docs: DataFrame, most: int = 4096, batch_bytes: int = 1_500_000) -> DataFrame:
     """All columns of `docs`, and _bytes, _removed, _spans, _kept_sha256 and _kept, the bytes that stay.
 
     Every byte under a string of 400 bytes that starts at another place too, of the
