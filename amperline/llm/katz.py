@@ -203,7 +203,7 @@ def _pairs(tokens: np.ndarray, lengths: np.ndarray, words: np.ndarray, end: int)
     return before, mixed(words[before] * np.uint64(0x9E3779B97F4A7C15) + words[tokens])
 
 
-def score_texts(docs: DataFrame, block_bytes: int = 16_000_000, bucket_keys: int = 2_000_000) -> DataFrame:
+def score_texts(docs: DataFrame, block_bytes: int = 10_000_000, bucket_keys: int = 1_000_000) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score and score of every document.
 
     Learns from all rows outside the held-out fold (a null id is in none, so it is
