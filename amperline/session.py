@@ -53,13 +53,34 @@ def scratch_folder(spark: SparkSession) -> str:
     return f"{shared_folder(spark)}/table-{uuid.uuid4().hex}"
 
 
-def durable(frame: DataFrame) -> DataFrame:
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
+def durable(frame: DataFrame, folder: str | None = None) -> DataFrame:
     """Write a frame to the shared folder and read it back.
 
     Several later steps then see identical values, also after an executor is
     lost, and nothing upstream runs twice. The stored size is known to Catalyst,
     so joins with the table are broadcast only below the configured threshold.
+    The shuffle files of the write go with it: the table takes their place.
+    ``folder`` names the place (from ``scratch_folder``) for a later ``discard``.
     """
-    path = scratch_folder(frame.sparkSession)
-    frame.write.parquet(path)
-    return frame.sparkSession.read.schema(frame.schema).parquet(path)
+    spark = frame.sparkSession
+    path = folder or scratch_folder(spark)
+    before = spark.conf.get(_CLEANUP, "false")
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        frame.write.parquet(path)
+    finally:
+        spark.conf.set(_CLEANUP, before)
+    return spark.read.schema(frame.schema).parquet(path)
+
+
+def discard(spark: SparkSession, *folders: str) -> None:
+    """Delete scratch tables of which all that is still needed has been written elsewhere."""
+    shared = shared_folder(spark)
+    for folder in folders:
+        if not folder.startswith(f"{shared}/table-"):
+            raise ValueError(f"not a scratch table: {folder}")
+        target = spark._jvm.org.apache.hadoop.fs.Path(folder)
+        target.getFileSystem(spark._jsc.hadoopConfiguration()).delete(target, True)
