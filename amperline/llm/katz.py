@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from amperline.llm.common import WordHash, fold, mixed, record_batch, small_batches
-from amperline.session import durable
+from amperline.session import discard, durable, scratch_folder
 
 TOP = 5
 _LOWER = bytes.maketrans(b"ABCDEFGHIJKLMNOPQRSTUVWXYZ", b"abcdefghijklmnopqrstuvwxyz")
@@ -47,7 +47,7 @@ def unpack(data: bytes, kind: type) -> np.ndarray:
     return np.ascontiguousarray(raw.reshape(width, -1).T).view(kind).ravel()
 
 
-def text_blocks(docs: DataFrame, most: int) -> DataFrame:
+def text_blocks(docs: DataFrame, most: int, folder: str | None = None) -> DataFrame:
     """Blocks of about `most` bytes of text: ids and lengths of texts, tokens as word numbers, hashes of words."""
     schema = pa.schema(
         [(n, pa.list_(t)) for n, t in (("doc_id", pa.int64()), ("held", pa.bool_()), ("lengths", pa.int64()))]
@@ -85,7 +85,7 @@ def text_blocks(docs: DataFrame, most: int) -> DataFrame:
         F.col("text").cast("string").alias("text"),
     )
     shape = "doc_id array<long>, held array<boolean>, lengths array<long>, tokens binary, words binary"
-    return durable(narrow.mapInArrow(packed, shape).withColumn("block", F.monotonically_increasing_id()))
+    return durable(narrow.mapInArrow(packed, shape).withColumn("block", F.monotonically_increasing_id()), folder)
 
 
 def _send(block: int, keys: np.ndarray, sums: list[np.ndarray], bits: int) -> list[tuple]:
@@ -106,7 +106,9 @@ def _sent_batch(rows: list[tuple]) -> pa.RecordBatch:
     return record_batch(schema, *(zip(*rows, strict=True) if rows else [[]] * 5))
 
 
-def exchange(sent: DataFrame, count: Callable[[np.ndarray], np.ndarray] | None = None) -> DataFrame:
+def exchange(
+    sent: DataFrame, count: Callable[[np.ndarray], np.ndarray] | None = None, folder: str | None = None
+) -> DataFrame:
     """Sums over all blocks for what each block sent, and which of its keys it is the first to send.
 
     With `count`, each bucket also gives a row of block -1 with its result for the first sums.
@@ -144,7 +146,7 @@ def exchange(sent: DataFrame, count: Callable[[np.ndarray], np.ndarray] | None =
         if held:
             yield answer(held)
 
-    return durable(sent.repartition("bucket").sortWithinPartitions("bucket", "block").mapInArrow(answered, _REPLY))
+    return durable(sent.repartition("bucket").sortWithinPartitions("bucket", "block").mapInArrow(answered, _REPLY), folder)
 
 
 def _counts_of_counts(totals: np.ndarray) -> np.ndarray:
@@ -213,7 +215,9 @@ def score_texts(docs: DataFrame, block_bytes: int = 10_000_000, bucket_keys: int
     them, and a bucket of the tables about `bucket_keys` keys a task sorts at once;
     both numbers of blocks and buckets grow with the input.
     """
-    blocks = text_blocks(docs, block_bytes)
+    spark = docs.sparkSession
+    early = [scratch_folder(spark) for _ in range(3)]
+    blocks = text_blocks(docs, block_bytes, early[0])
     tokens = blocks.agg(F.sum(F.aggregate("lengths", F.lit(0).cast("long"), lambda a, x: a + x))).first()[0] or 0
     bits = max(0, int(np.ceil(np.log2(max(1, tokens / bucket_keys)))))
 
@@ -230,8 +234,8 @@ def score_texts(docs: DataFrame, block_bytes: int = 10_000_000, bucket_keys: int
             keys, number = np.unique(_pairs(flat, np.array(row["lengths"]), words, end)[1], return_inverse=True)
             yield _sent_batch(_send(row["block"], keys, [np.bincount(number, train, len(keys))], bits))
 
-    word_replies = exchange(blocks.mapInArrow(send_words, _SENT), _counts_of_counts)
-    pair_replies = exchange(blocks.mapInArrow(send_pairs, _SENT), _counts_of_counts)
+    word_replies = exchange(blocks.mapInArrow(send_words, _SENT), _counts_of_counts, early[1])
+    pair_replies = exchange(blocks.mapInArrow(send_pairs, _SENT), _counts_of_counts, early[2])
     of_words, of_pairs = _statistics(word_replies), _statistics(pair_replies)
     total, types = of_words[0], of_words[1]
     d1, d2 = discounts(of_words), discounts(of_pairs)
@@ -287,6 +291,7 @@ def score_texts(docs: DataFrame, block_bytes: int = 10_000_000, bucket_keys: int
 
     binaries = ", ".join(f"{f} binary" for f in ("words", "kept", "covered", "open_doc", "open_word"))
     half = durable(known.mapInArrow(score_known, f"{held_shape}, {binaries}"))
+    discard(spark, *early)  # what is still needed of them is in `half`
 
     def send_mass(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for row in _rows(batches):
