@@ -74,6 +74,7 @@ def row_number_by_bucket(
 
     Counts per (group, bucket) give the offsets, so the row window only ever
     covers one bucket of one group. The join and the window share a shuffle.
+    NULL is a group, and a bucket before all others, of its own.
     """
     earlier = Window.partitionBy(*groups).orderBy(bucket).rowsBetween(*_BEFORE)
     offsets = (
@@ -84,7 +85,7 @@ def row_number_by_bucket(
     )
     inside = Window.partitionBy(*groups, bucket).orderBy(*order)
     return (
-        frame.join(offsets, [*groups, bucket])
+        _null_safe_join(frame, offsets, [*groups, bucket], "inner")
         .withColumn(name, F.col("_offset") + F.row_number().over(inside))
         .drop("_offset")
     )

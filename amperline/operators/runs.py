@@ -60,9 +60,14 @@ def records_from_marker(line: Column) -> Column:
 def latest_runs(states: DataFrame, limit: int | None = None) -> DataFrame:
     """Last logged state of each run, newest start first.
 
-    ``states`` carries ``line_no``, the position in the append-only log.
+    A finished state comes after a started one, and of several the one that
+    ended last counts; ``line_no``, the position in a file, only breaks ties.
     """
-    last = Window.partitionBy("run_id").orderBy(F.col("line_no").desc())
+    last = Window.partitionBy("run_id").orderBy(
+        F.col("finished_at").isNotNull().desc(),
+        F.coalesce("finished_at", "started_at").desc(),
+        F.col("line_no").desc(),
+    )
     runs = (
         states.withColumn("recency", F.row_number().over(last))
         .where("recency = 1")

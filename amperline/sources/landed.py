@@ -18,14 +18,20 @@ def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
         .option("multiLine", True)
         .option("recursiveFileLookup", True)
         .json(path)
-        .select(F.input_file_name().alias("snapshot"), "metadata", "records")
+        .select(
+            F.input_file_name().alias("snapshot"),
+            "metadata",
+            "records",
+            F.col("records").isNotNull().alias("has_records"),
+        )
     )
 
 
 def snapshot_documents(texts: DataFrame) -> DataFrame:
     """Documents given as text in ``snapshot`` and ``document`` columns."""
     parsed = parsed_once("document", _DOCUMENT)
-    return texts.select("snapshot", parsed.alias("d")).select("snapshot", "d.*")
+    documents = texts.select("snapshot", parsed.alias("d")).select("snapshot", "d.*")
+    return documents.withColumn("has_records", F.col("records").isNotNull())
 
 
 def snapshot_records(documents: DataFrame) -> DataFrame:

@@ -79,14 +79,14 @@ BRONZE = (
     "event_json STRING, event_id STRING, event_version STRING, dataset STRING, "
     "event_type STRING, partition_key STRING, emitted_at STRING, replay BOOLEAN, "
     "source_timestamp STRING, payload_json STRING, source STRING, kafka_date DATE, "
-    "batch_id BIGINT"
+    "batch_id STRING"
 )
 BRONZE_QUARANTINE = (
     "topic STRING, partition INT, offset BIGINT, kafka_timestamp TIMESTAMP, kafka_key STRING, "
     "event_json STRING, event_id STRING, event_version STRING, source STRING, dataset STRING, "
     "event_type STRING, partition_key STRING, emitted_at STRING, replay BOOLEAN, "
     "source_timestamp STRING, payload_json STRING, validation_error STRING, is_valid BOOLEAN, "
-    "kafka_date DATE, batch_id BIGINT"
+    "kafka_date DATE, batch_id STRING"
 )
 SILVER_ELECTRICITY = (
     f"{_LINEAGE}, event_emitted_at TIMESTAMP, period_raw STRING, period TIMESTAMP, "

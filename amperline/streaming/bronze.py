@@ -2,22 +2,36 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from amperline.operators.envelope import invalid_envelopes, parse_envelopes, valid_envelopes
 from amperline.operators.publish import dead_letters
-from amperline.sources.tables import LAYERS, table_path
+from amperline.sources.tables import LAYERS, exists, table_path
 
 
-def _replace_batch(frame: DataFrame, root: str, name: str, batch_id: int) -> None:
-    """Write one micro-batch; a repeated batch replaces its own files."""
-    partitions = LAYERS[name].partitions
+def stream_identity(spark: SparkSession, checkpoint: str) -> str:
+    """Name of the stream behind a checkpoint, kept in the checkpoint itself.
+
+    Batch numbers restart at 0 with every new checkpoint, so they identify a batch
+    only together with this name. It is made once and read back by later runs.
+    """
+    place = f"{checkpoint.rstrip('/')}/stream"
+    if not exists(spark, f"{place}/_SUCCESS"):
+        named = spark.range(1).select(F.lit(uuid.uuid4().hex).alias("value"))
+        named.write.mode("overwrite").text(place)
+    return spark.read.text(place).first()["value"]
+
+
+def _replace_batch(frame: DataFrame, root: str, name: str, stream: str, batch_id: int) -> None:
+    """Write one micro-batch; a repeated batch of the same stream replaces its own files."""
+    partitions = LAYERS[name].partitions if name in LAYERS else ("batch_id",)
     (
-        frame.withColumn("batch_id", F.lit(batch_id).cast("long"))
+        frame.withColumn("batch_id", F.lit(f"{stream}-{batch_id}"))
         .hint("rebalance", *[F.col(column) for column in partitions])
         .write.mode("overwrite")
         .option("partitionOverwriteMode", "dynamic")
@@ -27,7 +41,7 @@ def _replace_batch(frame: DataFrame, root: str, name: str, batch_id: int) -> Non
 
 
 def bronze_batch(
-    root: str, namespace: str, handler: Callable[[DataFrame], None] | None = None
+    root: str, namespace: str, stream: str, handler: Callable[[DataFrame], None] | None = None
 ) -> Callable[[DataFrame, int], None]:
     """Batch function: valid rows to Bronze, rejected rows to quarantine and
     dead letters. An exception, also one from ``handler``, leaves the offsets of
@@ -45,21 +59,15 @@ def bronze_batch(
             valid, invalid = valid_envelopes(parsed), invalid_envelopes(parsed)
             if handler is not None:
                 handler(valid)
-            _replace_batch(valid, root, "bronze_events", batch_id)
-            _replace_batch(invalid, root, "bronze_quarantine", batch_id)
+            _replace_batch(valid, root, "bronze_events", stream, batch_id)
+            _replace_batch(invalid, root, "bronze_quarantine", stream, batch_id)
             letters = dead_letters(
                 invalid,
                 F.col("kafka_timestamp"),
                 namespace,
                 F.concat_ws("-", F.lit("dlq"), "topic", "partition", "offset"),
             )
-            (
-                letters.withColumn("batch_id", F.lit(batch_id).cast("long"))
-                .write.mode("overwrite")
-                .option("partitionOverwriteMode", "dynamic")
-                .partitionBy("batch_id")
-                .parquet(table_path(root, "dead_letters"))
-            )
+            _replace_batch(letters, root, "dead_letters", stream, batch_id)
         finally:
             conf.set("spark.sql.adaptive.enabled", adaptive)
             parsed.unpersist()
@@ -75,13 +83,17 @@ def start_bronze(
     namespace: str = "events",
     handler: Callable[[DataFrame], None] | None = None,
 ) -> StreamingQuery:
-    """Drain what is available and stop; the checkpoint carries on next time."""
+    """Drain what is available and stop; the checkpoint carries on next time.
+
+    Streams with checkpoints of their own can feed one root, none replaces rows of another.
+    """
+    stream = stream_identity(records.sparkSession, checkpoint)
     return (
         parse_envelopes(records)
         .writeStream.queryName("bronze")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .foreachBatch(bronze_batch(root, namespace, handler))
+        .foreachBatch(bronze_batch(root, namespace, stream, handler))
         .start()
     )
 

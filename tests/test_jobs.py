@@ -81,13 +81,25 @@ def test_repeated_batch_replaces_its_own_rows(spark, tmp_path):
     batch = parse_envelopes(
         spark.createDataFrame([message(0, envelope("eia", {"a": 1}, 0)), message(1, "x")], RECORD)
     )
-    process = bronze_batch(str(tmp_path), "demo")
+    process = bronze_batch(str(tmp_path), "demo", "one")
     for batch_id in (4, 4, 5):
         process(batch, batch_id)
     assert read_layer(spark, str(tmp_path), "bronze_events").count() == 2
     assert read_layer(spark, str(tmp_path), "bronze_quarantine").count() == 2
 
 
+def test_streams_with_their_own_checkpoints_keep_each_others_rows(spark, tmp_path):
+    for part in (0, 1):
+        topic = f"{tmp_path}/topic-{part}"
+        put(spark, topic, message(2 * part, envelope("eia", {"a": part}, part)), message(2 * part + 1, "x"))
+        for _ in range(2):
+            records = bus.folder_stream(spark, topic)
+            start_bronze(records, f"{tmp_path}/tables", f"{tmp_path}/progress-{part}").awaitTermination()
+    for name in ("bronze_events", "bronze_quarantine"):
+        assert read_layer(spark, f"{tmp_path}/tables", name).count() == 2
+    assert spark.read.parquet(f"{tmp_path}/tables/dead_letters").count() == 2
+
+
 def test_windowed_outcomes_on_a_stream(spark, tmp_path):
     rows = [message(i, envelope("eia", {"a": 1}, i), minute=i) for i in (0, 0, 1, 30)]
     put(spark, f"{tmp_path}/topic", *rows)
@@ -113,7 +125,7 @@ def test_all_layers_from_topic_to_served_marts(spark, tmp_path):
         dated = rows.withColumns(
             {
                 "kafka_date": F.to_date("kafka_timestamp"),
-                "batch_id": F.lit(100 + offset).cast("long"),
+                "batch_id": F.lit(str(100 + offset)),
                 "event_json": F.lit(None).cast("string"),
             }
         )

@@ -106,6 +106,33 @@ def test_run_log_round_trip(spark, tmp_path):
     assert again.count() == 2 and runs.latest_runs(again).first().started_at == NOW
 
 
+def test_later_states_win_in_files_of_any_size(spark, tmp_path):
+    for long_end in (False, True):
+        target = str(tmp_path / f"log-{long_end}")
+        words = {False: ["run"], True: ["run", "x" * 500]}
+        start = {"run_id": "a", "stage": "s", "status": "STARTED", "started_at": "2026-01-01T00:00:00Z"}
+        end = {**start, "status": "SUCCEEDED", "finished_at": "2026-01-01T00:01:00Z"}
+        for line, long in ((start, not long_end), (end, long_end)):
+            text = json.dumps({**line, "command": words[long]})
+            spark.createDataFrame([(text,)], "value string").coalesce(1).write.mode("append").text(target)
+        found = runs.latest_runs(run_log.parse_run_log(run_log.read_log_lines(spark, target)))
+        assert [r.status for r in found.collect()] == ["SUCCEEDED"]
+
+
+def test_ill_typed_run_log_lines_are_dropped(spark):
+    good = {"run_id": "a", "stage": "s", "status": "STARTED", "started_at": "2026-01-01T00:00:00Z"}
+    lines = [
+        {**good, "command": ['quoted "]', "b"]},
+        {**good, "run_id": 7, "command": ["b"]},
+        {**good, "command": [1, 2]},
+        {**good, "command": ["b", None]},
+        {**good, "command": "b"},
+    ]
+    rows = [(i, json.dumps(line)) for i, line in enumerate(lines)]
+    frame = spark.createDataFrame(rows, "line_no long, line string")
+    assert [r.line_no for r in run_log.parse_run_log(frame).collect()] == [0]
+
+
 def test_record_marker(spark):
     lines = spark.createDataFrame([("RECORDS_PROCESSED=42 done",), ("nothing",)], "line string")
     assert [r[0] for r in lines.select(runs.records_from_marker(F.col("line"))).collect()] == [

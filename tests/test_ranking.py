@@ -3,7 +3,7 @@ import random
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from amperline.operators.ranking import dense_rank_by_range, row_number_by_range
+from amperline.operators.ranking import dense_rank_by_range, row_number_by_bucket, row_number_by_range
 from amperline.session import durable
 
 
@@ -36,3 +36,10 @@ def test_dense_ranks_match_one_big_window(spark):
             "n", F.dense_rank().over(Window.partitionBy(F.lit(1)).orderBy(order)).cast("long")
         )
         assert sorted(map(str, ours.collect())) == sorted(map(str, wanted.collect()))
+
+
+def test_bucket_numbers_keep_null_groups_and_buckets(spark):
+    rows = [(None, 1, 1), (None, None, 2), ("a", None, 3), ("a", 2, 4), ("a", 2, 5)]
+    frame = spark.createDataFrame(rows, "g string, b int, v int")
+    found = row_number_by_bucket(frame, "n", ["g"], "b", [F.col("v")]).collect()
+    assert sorted((r.v, r.n) for r in found) == [(1, 2), (2, 1), (3, 1), (4, 2), (5, 3)]
