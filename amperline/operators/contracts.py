@@ -10,7 +10,7 @@ from __future__ import annotations
 from collections.abc import Callable
 from dataclasses import dataclass
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from amperline.functions.clock import parse_hour
@@ -34,6 +34,7 @@ class Contract:
     record_rules: Callable[[], list[Rule]]
     required_metadata: tuple[str, ...] = _METADATA
     by_state: bool = False
+    numeric_keys: tuple[str, ...] = ()
 
 
 def with_fields(records: DataFrame) -> DataFrame:
@@ -164,6 +165,7 @@ WEATHER_CONTRACT = Contract(
         "short_forecast",
     ),
     unique_key=("latitude", "longitude", "period_start"),
+    numeric_keys=("latitude", "longitude"),
     record_rules=_weather_rules,
 )
 STATION_CONTRACT = Contract(
@@ -192,6 +194,7 @@ STATION_CONTRACT = Contract(
         "updated_at",
     ),
     unique_key=("station_id",),
+    numeric_keys=("station_id",),
     record_rules=_station_rules,
     required_metadata=(*_METADATA, "query_state", "total_results"),
     by_state=True,
@@ -212,6 +215,7 @@ def contract_from_mapping(source: str, loaded: dict) -> Contract:
         record_rules=CONTRACTS[source].record_rules,
         required_metadata=tuple(loaded["metadata"]["required"]),
         by_state=CONTRACTS[source].by_state,
+        numeric_keys=CONTRACTS[source].numeric_keys,
     )
 
 
@@ -228,6 +232,7 @@ def snapshot_rules(contract: Contract) -> list[Rule]:
     rules = [
         ("missing_metadata", keys.isNull()),
         ("missing_required_metadata", F.size(lacking) > 0),
+        ("missing_records", ~F.col("has_records")),
         ("record_count_not_integer", F.col("declared").isNull()),
         ("record_count_mismatch", F.col("declared") != F.col("record_count")),
     ]
@@ -270,11 +275,15 @@ def record_violations(records: DataFrame, contract: Contract) -> DataFrame:
     )
 
 
-def key_counts(records: DataFrame, contract: Contract) -> DataFrame:
-    """Copies of every unique key inside each snapshot."""
-    parts = [F.coalesce(raw(name), F.lit("None")) for name in contract.unique_key]
-    key = F.to_json(F.array(*parts)).alias("unique_key")
-    return with_fields(records).groupBy("snapshot", key).agg(F.count("*").alias("copies"))
+def unique_key(contract: Contract) -> Column:
+    """Key of a record; numbers count by value, so 40 and 40.0 are one key."""
+
+    def part(name: str) -> Column:
+        text = raw(name)
+        number = text.try_cast("double").cast("string")
+        return F.coalesce(number, text) if name in contract.numeric_keys else text
+
+    return F.to_json(F.array(*[F.coalesce(part(name), F.lit("None")) for name in contract.unique_key]))
 
 
 def validate_snapshots(
@@ -283,11 +292,15 @@ def validate_snapshots(
     """One verdict per snapshot.
 
     ``snapshots`` has ``snapshot`` and ``metadata`` (JSON text), ``records`` one
-    row per array element. Metadata problems win over record problems, which are
-    reported for the record that comes first.
+    row per array element. A document without a list of records, as told by an
+    optional column ``has_records`` of ``snapshots``, fails. Metadata problems win
+    over record problems, which are reported for the record that comes first; on
+    one record a broken rule wins over a key that an earlier record had.
     """
+    present = F.col("has_records") if "has_records" in snapshots.columns else F.lit(True)
     described = snapshots.withColumns(
         {
+            "has_records": F.coalesce(present, F.lit(False)),
             "declared": _whole_number("record_count"),
             "total_results": _whole_number("total_results"),
             "query_state": F.get_json_object("metadata", "$.query_state"),
@@ -297,19 +310,27 @@ def validate_snapshots(
         keyed = records.join(described.select("snapshot", "query_state"), "snapshot")
     else:
         keyed = records.withColumn("query_state", F.lit(None).cast("string"))
-    judged = record_violations(keyed, contract)
+    # the first two records of each key are kept in the map tasks already, however often it occurs
+    nth = Window.partitionBy("snapshot", "unique_key").orderBy("position")
+    judged = record_violations(keyed, contract).select(
+        "snapshot", "position", "reason", unique_key(contract).alias("unique_key")
+    )
     per_record = judged.groupBy("snapshot").agg(
         F.count("*").alias("record_count"),
         F.min(
-            F.when(F.col("reason").isNotNull(), F.struct("position", "reason"))
+            F.when(F.col("reason").isNotNull(), F.struct("position", F.lit(0).alias("turn"), "reason"))
         ).alias("broken"),
     )
+    repeated = F.struct(
+        "position", F.lit(1).alias("turn"), F.lit("duplicate_unique_key").alias("reason")
+    )
     per_key = (
-        key_counts(records, contract)
+        judged.withColumn("nth", F.row_number().over(nth))
+        .where("nth <= 2")
         .groupBy("snapshot")
         .agg(
-            F.count("*").alias("unique_key_count"),
-            F.coalesce(F.sum(F.when(F.col("copies") > 1, 1)), F.lit(0)).alias("repeated_keys"),
+            F.count_if(F.col("nth") == 1).alias("unique_key_count"),
+            F.min(F.when(F.col("nth") == 2, repeated)).alias("repeated"),
         )
     )
     counted = (
@@ -323,9 +344,7 @@ def validate_snapshots(
         )
     )
     reason = F.coalesce(
-        first_failure(snapshot_rules(contract)),
-        F.col("broken.reason"),
-        F.when(F.col("repeated_keys") > 0, F.lit("duplicate_unique_key")),
+        first_failure(snapshot_rules(contract)), F.least("broken", "repeated").getField("reason")
     )
     return counted.select(
         "snapshot",
@@ -401,6 +420,6 @@ def normalised_stations(records: DataFrame) -> DataFrame:
         *[raw(name).try_cast("double").alias(name) for name in ("latitude", "longitude")],
         *[raw(name).try_cast("int").alias(name) for name in counts],
         F.coalesce(connectors, F.array().cast("array<string>")).alias("ev_connector_types"),
-        F.try_to_timestamp(raw("date_last_confirmed")).cast("date").alias("date_last_confirmed"),
+        raw("date_last_confirmed").try_cast("date").alias("date_last_confirmed"),
         F.try_to_timestamp(raw("updated_at")).alias("updated_at"),
     )

@@ -59,7 +59,12 @@ def hourly_measures() -> dict[str, Column]:
 
 
 def location_key(latitude: str = "latitude", longitude: str = "longitude") -> Column:
-    return F.format_string("%.4f,%.4f", F.col(latitude), F.col(longitude))
+    """Both coordinates to four places, exact ties to even; NULL if one is not known."""
+
+    def shown(name: str) -> Column:
+        return F.regexp_replace(F.format_number(F.col(name), 4), ",", "")
+
+    return F.concat(shown(latitude), F.lit(","), shown(longitude))
 
 
 def precipitation_risk(probability: Column) -> Column:

@@ -144,7 +144,7 @@ STATIONS = TypedSource(
         "updated_at",
     ),
     convert=lambda: {
-        "date_last_confirmed": _instant("date_last_confirmed").cast("date"),
+        "date_last_confirmed": F.col("payload.date_last_confirmed").try_cast("date"),
         "updated_at": _instant("updated_at"),
     },
     rules=lambda: [

@@ -670,20 +670,24 @@ judged AS (
       THEN 'unknown_fields' WHEN event_id % 227 = 7 THEN 'invalid_value' END AS reason
   FROM land),
 keyed AS (
-  SELECT snapshot, hour_ts, respondent, record_type, count(*) AS copies
-  FROM land GROUP BY ALL),
+  SELECT snapshot, event_id, row_number() OVER (
+    PARTITION BY snapshot, hour_ts, respondent, record_type ORDER BY event_id) AS nth
+  FROM land),
 per_key AS (
-  SELECT snapshot, count(*) AS unique_key_count, count(*) FILTER (copies > 1) AS repeated
+  SELECT snapshot, count(*) FILTER (nth = 1) AS unique_key_count,
+    min(event_id) FILTER (nth > 1) AS repeated_at
   FROM keyed GROUP BY snapshot),
 per_snapshot AS (
   SELECT snapshot, any_value(snapshot_no) AS no, count(*) AS record_count,
-    arg_min(reason, event_id) FILTER (reason IS NOT NULL) AS broken
+    arg_min(reason, event_id) FILTER (reason IS NOT NULL) AS broken,
+    min(event_id) FILTER (reason IS NOT NULL) AS broken_at
   FROM judged GROUP BY snapshot),
 verdicts AS (
   SELECT snapshot, 'eia_region_data' AS contract, record_count, unique_key_count,
     CASE WHEN no % 41 = 2 THEN 'missing_required_metadata'
-      WHEN no % 37 = 1 THEN 'record_count_mismatch' WHEN broken IS NOT NULL THEN broken
-      WHEN repeated > 0 THEN 'duplicate_unique_key' END AS reason
+      WHEN no % 37 = 1 THEN 'record_count_mismatch' WHEN repeated_at < broken_at
+        OR broken_at IS NULL AND repeated_at IS NOT NULL THEN 'duplicate_unique_key'
+      ELSE broken END AS reason
   FROM per_snapshot JOIN per_key USING (snapshot))"""
 )
 

@@ -169,3 +169,11 @@ def test_forecast_sequence_runs_across_days(spark):
     mart = marts.weather_forecast(frame.withColumns(filler))
     got = {(r.location_key, r.period_start): r.forecast_sequence for r in mart.collect()}
     assert [got["k", h] for h in hours] == list(range(1, 10)) and got["other", hours[4]] == 1
+
+
+def test_location_key_rounds_exact_ties_to_even(spark):
+    rows = spark.createDataFrame(
+        [(12.28125, -1234.5, 1), (-81.7, 0.0, 2), (None, 1.0, 3)], "latitude double, longitude double, n int"
+    )
+    found = rows.select(gold.location_key().alias("k"), "n").orderBy("n").collect()
+    assert [r.k for r in found] == ["12.2812,-1234.5000", "-81.7000,0.0000", None]

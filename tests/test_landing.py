@@ -103,6 +103,9 @@ def verdict(spark, contract, records, **metadata):
             {},
             "invalid_forecast_interval",
         ),
+        ("nws", [{**FORECAST, "latitude": 40}, {**FORECAST, "latitude": 40.0}], {}, "duplicate_unique_key"),
+        ("eia", [METRIC, METRIC, {**METRIC, "period": "yesterday"}], {}, "duplicate_unique_key"),
+        ("eia", [{**METRIC, "period": "yesterday"}, METRIC, METRIC], {}, "invalid_period"),
         ("afdc", [STATION], {}, None),
         ("afdc", [STATION, STATION], {}, "duplicate_unique_key"),
         ("afdc", [STATION], {"query_state": "NY"}, "state_mismatch"),
@@ -121,6 +124,20 @@ def test_contract_verdicts(spark, source, records, metadata, reason):
     assert row.record_count == len(records)
 
 
+def test_a_document_without_records_fails(spark):
+    described = {"source": "eia", "dataset": "d", "schema_version": "1", "run_id": "r"}
+    described |= {"ingested_at": "2026-08-10T00:00:00Z", "record_count": 0}
+    for records, reason in (({}, "missing_records"), ({"records": []}, None)):
+        text = json.dumps({"metadata": described, **records})
+        docs = landed.snapshot_documents(
+            spark.createDataFrame([("s", text)], "snapshot string, document string")
+        )
+        found = contracts.validate_snapshots(
+            docs.drop("records"), landed.snapshot_records(docs), contracts.ELECTRICITY_CONTRACT
+        )
+        assert found.first().reason == reason
+
+
 def test_required_metadata_and_first_bad_record(spark):
     text = json.dumps({"metadata": {"source": "eia"}, "records": [METRIC]})
     docs = landed.snapshot_documents(
@@ -324,3 +341,9 @@ def test_partition_keys_and_station_timestamps(spark):
         ("NY", "2026-07-01"),
         ("TX", None),
     ]
+
+
+def test_date_of_an_offset_text_is_the_written_one(spark):
+    record = json.dumps({**STATION, "date_last_confirmed": "2026-07-10T23:00:00-05:00"})
+    rows = spark.createDataFrame([(record,)], "record string")
+    assert str(contracts.normalised_stations(rows).first().date_last_confirmed) == "2026-07-10"
