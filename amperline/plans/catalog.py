@@ -624,12 +624,13 @@ def dq_generic_tests(spark, sf):
         quality.unique_test("mart_weather_forecast", weather, "weather_forecast_key"),
         quality.column_tests(
             "respondent_types",
-            types.join(grid.select("respondent").distinct(), "respondent", "left_anti"),
+            types,
             [
                 *[not_null(name) for name in ("respondent", "entity_type", "entity_name")],
                 accepted("entity_type", ("region", "national")),
             ],
         ),
+        quality.unique_test("respondent_types", types, "respondent"),
     ]
     return reduce(DataFrame.unionByName, parts)
 

@@ -1110,9 +1110,11 @@ def _generic_tests() -> str:
             f"SELECT '{model}', 'unique:{key}', count(*) FROM "
             f"(SELECT {key} FROM {relation} GROUP BY {key} HAVING count(*) > 1)"
         )
+    # the dimension is built in and has one full row for each of its codes
     rows += [
         f"SELECT 'respondent_types', '{test}', CAST(0 AS BIGINT)"
         for test in (
+            "unique:respondent",
             "not_null:respondent",
             "not_null:entity_type",
             "not_null:entity_name",
