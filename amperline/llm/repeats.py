@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from amperline.llm.common import mixed, record_batch, small_batches, text_key
-from amperline.llm.induced import CAP, sorted_suffixes
+from amperline.llm.induced import CAP, suffix_queues
 from amperline.session import durable
 
 LENGTH = CAP
@@ -150,10 +150,10 @@ def _starts_in(pieces: list[bytes]) -> list[np.ndarray]:
     sizes = np.array([len(p) for p in pieces], np.int64)
     # bytes 0 to 253 move up by two; 0 ends the text and 1 ends a piece (UTF-8 has no byte above 0xF4)
     text = np.frombuffer(b"\xff".join(pieces) + b"\xfe", np.uint8) + np.uint8(2)
-    order, shared = sorted_suffixes(text)
-    same = shared >= LENGTH
     hit = np.zeros(len(text), bool)
-    hit[order[same | np.r_[same[1:], False]]] = True
+    for order, shared in suffix_queues(text):
+        same = shared >= LENGTH
+        hit[order[same | np.r_[same[1:], False]]] = True
     begin = np.r_[0, np.cumsum(sizes + 1)[:-1]]
     return [np.flatnonzero(hit[b : b + max(0, n - LENGTH + 1)]) for b, n in zip(begin, sizes, strict=True)]
 
