@@ -2,13 +2,17 @@
 
 A line goes down the tree by its token count and its leading tokens, where a token
 with a digit counts as a variable. Within a leaf, a token at a position is constant
-if it is found there in at least `least` different surroundings, and a variable
-field (<*>) otherwise. The line's template is its constants and fields; where fewer
-than half of the tokens are constant the line is like no other and has none.
-Templates found in at least `least` different surroundings recur, and their lines
-are dropped. The surroundings of a line are how the lines before and after it
-begin: a license line stands in many, whereas copies of one text, exact or with
-a few words changed, give each line about one, and so keep their lines.
+if it is found there in at least `least` different texts, and a variable field (<*>)
+otherwise. The line's template is its constants and fields; where fewer than half
+of the tokens are constant the line is like no other and has none. Templates found
+in at least `least` different texts recur, and their lines are dropped, wherever in
+a text they stand. A group of near copies counts as one text, so copies of one
+text, exact or with a few words changed, keep their lines.
+
+Near copies are found by a sketch of each text, the smallest hashes of its runs of
+words. Texts that share one of the first of these are compared with the one of
+smallest key among them, and join it if the sketches tell a Jaccard similarity of
+at least `COPY`. So no bucket is compared with itself pair by pair.
 """
 
 from __future__ import annotations
@@ -23,6 +27,8 @@ FIELD = "<*>"
 #: White space between tokens.
 _GAP = r"[\x20\x09-\x0D]+"
 _TOKEN = r"[^\x20\x09-\x0D]+"
+#: Words of a run, hashes of a sketch, hashes that bring texts together, least similarity of near copies.
+RUN, SKETCH, BUCKETS, COPY = 5, 48, 8, 0.5
 
 
 def _tokens(line: Column, most: int = -1) -> Column:
@@ -41,55 +47,88 @@ def _leaf(line: Column, depth: int) -> Column:
     return F.xxhash64(count, *steps)
 
 
-def tree_lines(docs: DataFrame, text: str, depth: int, nearby: int = 12) -> DataFrame:
-    """Every line that has tokens: its text's key, its position, its leaf and its surroundings."""
+def tree_lines(docs: DataFrame, text: str, depth: int) -> DataFrame:
+    """Every line that has tokens: its text's key, its position and its leaf."""
     lines = docs.select(
         text_key(F.col(text)).alias("_text"),
-        F.split(F.coalesce(F.col(text).cast("string"), F.lit("")), "\n").alias("_lines"),
+        F.posexplode(F.split(F.coalesce(F.col(text).cast("string"), F.lit("")), "\n")).alias("_pos", "_line"),
     )
-    edge = F.array(F.lit(""))
-    zipped = F.arrays_zip(
-        F.col("_lines").alias("line"),
-        F.concat(edge, F.col("_lines")).alias("before"),
-        F.concat(F.slice("_lines", F.lit(2), F.size("_lines")), edge).alias("after"),
+    return lines.filter(F.col("_line").rlike(_TOKEN)).withColumn("_leaf", _leaf(F.col("_line"), depth))
+
+
+def _sketch() -> Column:
+    """The smallest distinct hashes of all runs of _words, in order; a shorter text is one run."""
+    run = lambda at: F.xxhash64(*[F.get("_words", at + i) for i in range(RUN)])
+    starts = F.sequence(F.lit(0), F.greatest(F.size("_words") - RUN, F.lit(0)))
+    return F.slice(F.array_sort(F.array_distinct(F.transform(starts, run))), 1, SKETCH)
+
+
+def near_copies(docs: DataFrame, text: str) -> DataFrame:
+    """Texts that are near copies of another: key of the text, and the family it is counted with."""
+    # the upper halves keep the order and take half the space
+    short = F.transform("_low", lambda x: F.shiftright(x, 32).cast("int"))
+    sketched = durable(
+        docs.filter(F.col(text).cast("string").rlike(_TOKEN))
+        .select(text_key(F.col(text)).alias("_text"), _tokens(F.col(text).cast("string")).alias("_words"))
+        .select(F.xxhash64("_text").alias("_own"), _sketch().alias("_low"))
+        .select("_own", F.slice("_low", 1, BUCKETS).alias("_keys"), short.alias("_sketch"))
+        .dropDuplicates(["_own"])
     )
-    rows = lines.select("_text", F.size("_lines").alias("_count"), F.posexplode(zipped).alias("_pos", "_row"))
-    starts = [F.substring(F.coalesce(F.col(f"_row.{x}"), F.lit("")), 1, nearby) for x in ("before", "after")]
-    return (
-        rows.filter("_pos < _count")
-        .select("_text", "_pos", F.col("_row.line").alias("_line"), F.xxhash64(*starts).alias("_place"))
-        .filter(F.col("_line").rlike(_TOKEN))
-        .withColumn("_leaf", _leaf(F.col("_line"), depth))
+    keys = sketched.select("_own", F.explode("_keys").alias("_key"))
+    firsts = keys.groupBy("_key").agg(F.min("_own").alias("_first"), F.count("*").alias("_n")).filter("_n > 1")
+    pairs = keys.join(firsts.drop("_n"), "_key").filter("_own <> _first").select("_own", "_first").distinct()
+    sketches = sketched.select("_own", "_sketch")
+    both = pairs.join(sketches, "_own").join(sketches.toDF("_first", "_other"), "_first")
+    union = F.slice(F.array_sort(F.array_union("_sketch", "_other")), 1, SKETCH)
+    shared = F.size(F.array_intersect(F.array_intersect("_sketch", "_other"), "_union"))
+    links = durable(
+        both.withColumn("_union", union)
+        .filter(shared >= COPY * F.size("_union"))
+        .groupBy("_own")
+        .agg(F.min("_first").alias("_family"))
     )
+    # a text's first may have a smaller first itself
+    for _ in range(3):
+        onward = links.toDF("_family", "_next")
+        links = durable(
+            links.join(onward, "_family", "left").select("_own", F.coalesce("_next", "_family").alias("_family"))
+        )
+    return links
 
 
-def _at_place(at: Column, token: Column) -> Column:
-    return F.concat(at.cast("string"), F.lit(" "), token)
+def _in_texts(found: DataFrame, *keys: str) -> DataFrame:
+    """In how many different texts each key is found, near copies counted once."""
+    return found.select(*keys, "_family").distinct().groupBy(*keys).agg(F.count("*").alias("_texts"))
 
 
-def _in_places(found: DataFrame, *keys: str) -> DataFrame:
-    """In how many different surroundings each key is found."""
-    return found.select(*keys, "_place").distinct().groupBy(*keys).agg(F.count("*").alias("_places"))
+def _at_place(at: Column, token: Column) -> Column:
+    return F.concat(at.cast("string"), F.lit(" "), token)
 
 
 def recurring_lines(docs: DataFrame, text: str, depth: int, least: int, alike: float) -> DataFrame:
     """Positions of recurring lines: one row per text that has any, with an array of them.
 
-    Counts are of different surroundings, so copies of one text do not make its lines
-    recur. All counts are combined before they are shuffled, first by leaf: lines
-    whose leaf is in too few texts, most of them, are not looked at again.
+    Counts are of texts, near copies counted once, so copies of one text do not make
+    its lines recur. All counts are combined before they are shuffled, first by leaf:
+    lines whose leaf is in too few texts, most of them, are not looked at again.
     """
-    lines = tree_lines(docs, text, depth)
-    leaves = _in_places(lines, "_leaf").filter(F.col("_places") >= least).select("_leaf")
-    near = durable(lines.join(leaves, "_leaf").distinct())
+    lines = tree_lines(docs, text, depth).withColumn("_own", F.xxhash64("_text"))
+    families = near_copies(docs, text)
+    family = F.coalesce("_family", "_own").alias("_family")
+    placed = lines.select("_leaf", "_own").distinct().join(families, "_own", "left").select("_leaf", family)
+    leaves = _in_texts(placed, "_leaf").filter(F.col("_texts") >= least).select("_leaf")
+    near = durable(
+        lines.join(leaves, "_leaf").distinct().join(families, "_own", "left")
+        .select("_text", "_pos", "_line", "_leaf", family)
+    )
     constants = (
-        _in_places(
-            near.select("_leaf", "_place", F.posexplode(_tokens(F.col("_line"))).alias("_at", "_token")),
+        _in_texts(
+            near.select("_leaf", "_family", F.posexplode(_tokens(F.col("_line"))).alias("_at", "_token")),
             "_leaf",
             "_at",
             "_token",
         )
-        .filter(F.col("_places") >= least)
+        .filter(F.col("_texts") >= least)
         .groupBy("_leaf")
         .agg(F.collect_set(_at_place(F.col("_at"), F.col("_token"))).alias("_constants"))
     )
@@ -109,7 +148,7 @@ def recurring_lines(docs: DataFrame, text: str, depth: int, least: int, alike: f
         )
     )
     placed = near.join(templates, ["_leaf", "_line"])
-    known = _in_places(placed, "_leaf", "_template").filter(F.col("_places") >= least)
+    known = _in_texts(placed, "_leaf", "_template").filter(F.col("_texts") >= least)
     return (
         placed.join(known.select("_leaf", "_template"), ["_leaf", "_template"])
         .groupBy("_text")

@@ -192,6 +192,21 @@ def test_recurring_lines(spark, docs, nothing):
     assert drop_recurring_lines(nothing).count() == 0
 
 
+def test_recurring_lines_in_one_surrounding(spark):
+    footer = "all rights are held by us\nwrite to the desk at noon\nprinted in the old town hall"
+    kinds = {
+        "footer": lambda i: f"{words(i, 30)}\n{footer}",
+        "blank": lambda i: f"{words(100 + i, 30)}\n\nread more on our other site\n\n{words(200 + i, 30)}",
+        "whole": lambda i: f"posted 12:{i:02d} by all of us here",
+        "few": lambda i: f"{words(300 + i, 30)}\nonly some of the texts have this",
+        "copies": lambda i: " ".join([*BASE.split()[:i], f"x{i}", *BASE.split()[i + 1 : 150]]) + "\nthe end of this one story",
+    }
+    rows = [(k, f(i)) for k, f in kinds.items() for i in range(9 if k == "few" else 12)]
+    found = drop_recurring_lines(spark.createDataFrame(rows, "kind string, text string")).collect()
+    dropped = {k: {r._dropped for r in found if r.kind == k} for k in kinds}
+    assert dropped == {"footer": {3}, "blank": {1}, "whole": {1}, "few": {0}, "copies": {0}}
+
+
 def test_mixing(spark, docs, nothing):
     rows = [(i, "a b c d e f g h i j", "big" if i % 10 else "small") for i in range(400)]
     frame = spark.createDataFrame(rows, "doc_id long, text string, source string")
