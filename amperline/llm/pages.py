@@ -2,8 +2,8 @@
 
 A page is read into blocks of text. Blocks inside an article or main element, and
 not in a part of it that is marked as something else, are main text. Scripts,
-menus, footers, forms and parts named as adverts, notices or comments are left
-out. What remains, plain blocks of a page that declares no main part, is compared
+menus, footers, forms and parts whose whole name marks them as adverts, notices or
+comments are left out. What remains, plain blocks of a page that declares no main part, is compared
 with the page of nearest URL on the same host: both pages' lines are aligned by
 their longest common subsequence, and shared lines, the template's, are deleted.
 Lines in a declared main part are not deleted, since two pages can tell the same
@@ -53,12 +53,15 @@ def _role(tag: str, attributes: str, outer: int) -> int:
     """What text inside an element is: 0 left out, 1 plain, 2 main."""
     if tag in OTHER:
         return 0
-    for match in _NAMED.finditer(attributes):
-        value = next(v for v in match.groups() if v is not None)
-        if not MARKED.isdisjoint(re.split(r"[\s_-]+", value.lower())):
-            return 0
     if tag in ("article", "main"):
         return MAIN
+    if tag not in ("html", "body"):
+        for match in _NAMED.finditer(attributes):
+            value = next(v for v in match.groups() if v is not None)
+            for name in value.lower().split():
+                # a name that has other words as well (has-sidebar) does not say what the element is
+                if MARKED.issuperset(re.split(r"[_-]+", name)):
+                    return 0
     if tag == "header" and outer != MAIN:
         return 0
     return outer

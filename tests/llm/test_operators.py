@@ -181,6 +181,20 @@ def test_pages(spark):
     }
 
 
+def test_marks_in_names_of_main_elements():
+    for page in (
+        '<article class="post comments-open"><p>text</p></article>',
+        '<main class="has-sidebar"><p>text</p></main>',
+        '<article class="login"><p>text</p></article>',
+    ):
+        assert blocks_of(page) == [(2, "text")]
+    for page in (
+        '<body class="no-sidebar"><p>text</p><div class="sidebar">x</div></body>',
+        '<div class="with-menu"><p>text</p><div id="cookie-banner">x</div></div>',
+    ):
+        assert blocks_of(page) == [(1, "text")]
+
+
 def test_recurring_lines(spark, docs, nothing):
     rows = [(i, f"{words(i, 20)}\nposted 12:{i:02d} by all of us here\n{words(900 + i, 20)}") for i in range(12)]
     found = drop_recurring_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()
