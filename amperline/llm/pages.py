@@ -1,13 +1,12 @@
 """Main text of web pages: markup to blocks, and differencing with the nearest page of the host.
 
-A page is read into blocks of text. Blocks inside an article or main element, and
-not in a part of it that is marked as something else, are main text. Scripts,
-menus, footers, forms and parts whose whole name marks them as adverts, notices or
-comments are left out. What remains, plain blocks of a page that declares no main part, is compared
-with the page of nearest URL on the same host: both pages' lines are aligned by
-their longest common subsequence, and shared lines, the template's, are deleted.
-Lines in a declared main part are not deleted, since two pages can tell the same
-story.
+A page is read into blocks of text. Scripts, menus, footers, forms and parts whose
+whole name marks them as adverts, notices or comments are left out. All that
+remains, inside an article or main element or not, is compared with the page of
+nearest URL on the same host that has another body: both pages' lines are aligned
+by their longest common subsequence, and shared lines, the template's, are deleted.
+Equal bodies stand as one in the order of URLs, and a page whose lines are nearly
+the same (`COPY`) is passed over, so copies of a story do not delete each other.
 """
 
 from __future__ import annotations
@@ -18,7 +17,7 @@ from collections.abc import Iterator
 from html import unescape
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from amperline.llm.common import record_batch, small_batches
@@ -47,6 +46,8 @@ MARKED = frozenset(
 )
 
 PLAIN, MAIN = 1, 2
+#: Neighbours of each side that are looked at, and the Jaccard similarity of lines from which a page is a copy.
+BESIDE, COPY = 3, 0.7
 
 
 def _role(tag: str, attributes: str, outer: int) -> int:
@@ -136,38 +137,33 @@ def shared_lines(mine: list[int], other: list[int]) -> set[int]:
     return found
 
 
+def is_copy(mine: list[int], other: list[int]) -> bool:
+    """Whether two pages have nearly the same lines."""
+    ours, theirs = set(mine), set(other)
+    return len(ours & theirs) >= COPY * len(ours | theirs)
+
+
 def read_pages(pages: DataFrame) -> DataFrame:
-    """Blocks of every page with a row id, host and path; stored, so that row ids hold."""
-    schema = pa.schema(
-        [
-            ("page_id", pa.int64()),
-            ("url", pa.string()),
-            ("main", pa.bool_()),
-            ("lines", pa.list_(pa.string())),
-        ]
-    )
+    """Lines of every page with their hashes, a key of all of them, host and path; stored."""
+    schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("lines", pa.list_(pa.string()))])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in small_batches(batches, "html"):
-            found = [blocks_of(h) for h in batch.column("html").to_pylist()]
-            main = [any(role == MAIN for role, _ in blocks) for blocks in found]
-            lines = [
-                [text for role, text in blocks if role == (MAIN if has else PLAIN)]
-                for has, blocks in zip(main, found, strict=True)
-            ]
-            yield record_batch(schema, batch.column("page_id"), batch.column("url"), main, lines)
+            lines = [[text for _, text in blocks_of(h)] for h in batch.column("html").to_pylist()]
+            yield record_batch(schema, batch.column("page_id"), batch.column("url"), lines)
 
     narrow = pages.select(
         F.col("page_id").cast("long").alias("page_id"),
         F.col("url").cast("string").alias("url"),
         F.col("html").cast("string").alias("html"),
     )
-    found = narrow.mapInArrow(read, "page_id long, url string, main boolean, lines array<string>")
+    found = narrow.mapInArrow(read, "page_id long, url string, lines array<string>")
     address = r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)([^?#]*)"
     return durable(
         found.withColumns(
             {
-                "rid": F.monotonically_increasing_id(),
+                "mine": F.transform("lines", lambda x: F.xxhash64(x)),
+                "body": F.xxhash64(F.array_join("lines", "\n")),
                 "host": F.lower(F.coalesce(F.regexp_extract("url", address, 1), F.lit(""))),
                 "path": F.coalesce(F.regexp_extract("url", address, 2), F.lit("")),
             }
@@ -175,71 +171,61 @@ def read_pages(pages: DataFrame) -> DataFrame:
     )
 
 
-def nearest_pages(stored: DataFrame) -> DataFrame:
-    """For each page with a host, the nearer one by URL path of its neighbours in the host's order.
+def bodies_beside(stored: DataFrame) -> DataFrame:
+    """For each body of a host, the bodies next to it in the order of URLs, with the distance of the paths.
 
-    All URLs are sorted by range, so a host of any size is cut over many tasks. A
-    part sees the last URL of the part before it and the first of the next one;
-    therefore the result does not depend on where the cuts are.
+    A body stands at its first URL. All are numbered in the order of host and path,
+    sorted by range, so a host of any size is cut over many tasks, and neighbours
+    meet by number; therefore the result does not depend on where the cuts are.
     """
-    key = F.struct("host", "path", "rid")
-    placed = durable(
-        stored.filter("host <> ''")
-        .select("rid", "host", "path")
-        .repartitionByRange("host", "path", "rid")
-        .withColumn("part", F.spark_partition_id())
+    bodies = (
+        stored.filter((F.col("host") != "") & (F.size("lines") > 0))
+        .groupBy("host", "body")
+        .agg(F.min(F.struct("path", "mine")).alias("first"))
+        .select("host", "body", "first.*")
     )
-    ends = placed.groupBy("part").agg(F.min(key).alias("low"), F.max(key).alias("high"))
-    order = Window.orderBy("part")
+    sliced = durable(bodies.repartitionByRange("host", "path", "body").withColumn("part", F.spark_partition_id()))
+    sizes = sliced.groupBy("part").agg(F.count("*").alias("size"))
     # one row per part
-    seams = ends.select("part", F.lag("high").over(order).alias("before"), F.lead("low").over(order).alias("after"))
-    ghosts = seams.select("part", F.explode(F.array("before", "after")).alias("page")).filter("page is not null")
-    rows = placed.select("part", key.alias("page"), F.lit(False).alias("ghost")).unionByName(
-        ghosts.withColumn("ghost", F.lit(True))
-    )
-    inside = Window.partitionBy("part").orderBy("page")
-    beside = rows.select(
-        "page", "ghost", F.lag("page").over(inside).alias("before"), F.lead("page").over(inside).alias("after")
-    ).filter("not ghost")
-
-    def far(other: str) -> Column:
-        same = F.col(f"{other}.host") == F.col("page.host")
-        return F.when(same, F.levenshtein(F.col(f"{other}.path"), F.col("page.path"))).otherwise(F.lit(1 << 30))
-
-    near = F.when(F.coalesce(far("before"), F.lit(1 << 30)) <= F.coalesce(far("after"), F.lit(1 << 30)), F.col("before"))
-    chosen = beside.select("page", near.otherwise(F.col("after")).alias("near"))
-    return chosen.filter(F.col("near.host") == F.col("page.host")).select(
-        F.col("page.rid").alias("rid"), F.col("near.rid").alias("near")
+    before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = sizes.select("part", F.coalesce(F.sum("size").over(before), F.lit(0)).alias("offset"))
+    inside = Window.partitionBy("part").orderBy("host", "path", "body")
+    placed = durable(
+        sliced.withColumn("row", F.row_number().over(inside))
+        .join(offsets, "part")
+        .select("host", "path", "body", "mine", (F.col("offset") + F.col("row")).alias("at"))
     )
+    steps = F.explode(F.array(*[F.lit(i) for i in range(-BESIDE, BESIDE + 1) if i]))
+    asked = placed.select("host", "path", "body", "at", steps.alias("step")).withColumn("at", F.col("at") + F.col("step"))
+    others = placed.select("at", F.col("host").alias("its"), F.col("path").alias("there"), F.col("mine").alias("other"))
+    beside = asked.join(others, "at").filter("host = its")
+    near = F.struct(F.levenshtein("path", "there").alias("far"), "step", "other")
+    return beside.groupBy("host", "body").agg(F.collect_list(near).alias("near"))
 
 
 def extract_main_text(pages: DataFrame) -> DataFrame:
     """page_id, url, text and n_chars of every page.
 
     A null or empty page, or one without main text, has the empty text. A page
-    without a host, or alone on its host, is compared with no other. Repeated rows
-    are pages of their own; copies of a page without a declared main part delete
-    each other's text, as all of it is shared. Columns other than page_id, url and
-    html are not read.
+    without a host, or with no other body than copies of its own beside it, is
+    compared with no other. Repeated rows are pages of their own, with equal texts.
+    Columns other than page_id, url and html are not read.
     """
     stored = read_pages(pages)
-    declared = stored.filter("main").select("page_id", "url", F.array_join("lines", "\n").alias("text"))
-    plain = stored.filter("not main")
-    hashes = F.transform("lines", lambda x: F.xxhash64(x))
-    pairs = nearest_pages(stored).join(plain.select("rid"), "rid")
-    others = stored.select(F.col("rid").alias("near"), hashes.alias("other"))
-    compared = plain.join(pairs.join(others, "near").select("rid", "other"), "rid", "left").select(
-        "page_id", "url", "lines", hashes.alias("mine"), "other"
+    compared = stored.join(bodies_beside(stored), ["host", "body"], "left").select(
+        "page_id", "url", "lines", "mine", "near"
     )
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string())])
 
     def delete_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             texts = []
-            for row in batch.select(["lines", "mine", "other"]).to_pylist():
-                gone = shared_lines(row["mine"], row["other"] or [])
+            for row in batch.select(["lines", "mine", "near"]).to_pylist():
+                near = sorted(row["near"] or [], key=lambda x: (x["far"], abs(x["step"]), x["step"]))
+                other = next((x["other"] for x in near if not is_copy(row["mine"], x["other"])), [])
+                gone = shared_lines(row["mine"], other)
                 texts.append("\n".join(x for i, x in enumerate(row["lines"]) if i not in gone))
             yield record_batch(schema, batch.column("page_id"), batch.column("url"), texts)
 
     differed = compared.mapInArrow(delete_shared, "page_id long, url string, text string")
-    return declared.unionByName(differed).withColumn("n_chars", F.length("text").cast("long"))
+    return differed.withColumn("n_chars", F.length("text").cast("long"))

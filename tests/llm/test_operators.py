@@ -181,6 +181,20 @@ def test_pages(spark):
     }
 
 
+def test_differencing_decides_on_every_page(spark):
+    page = "<div>top of site</div><article>{}</article><p>{}</p>"
+    story = "<p>one</p><p>two</p><p>three</p><p>four</p><p>five</p><p>six</p>"
+    near = story.replace("six", "seven")
+    texts = [("a1", "teaser", "long text"), *[(f"b{i}", story, "") for i in range(9)], ("b9", near, ""), ("c1", "<p>else</p>two", "")]
+    rows = [(i, f"http://h/{path}", page.format(x, y)) for i, (path, x, y) in enumerate(texts)]
+    found = {r.page_id: r.text for r in extract_main_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    told = ["one\ntwo\nthree\nfour\nfive\nsix"] * 9
+    assert found[0] == "teaser\nlong text"
+    assert [found[i] for i in range(1, 10)] == told
+    assert found[10] == "one\nthree\nfour\nfive\nseven"
+    assert found[11] == "else\ntwo"
+
+
 def test_marks_in_names_of_main_elements():
     for page in (
         '<article class="post comments-open"><p>text</p></article>',
