@@ -1,9 +1,9 @@
-"""Near-duplicate join on word shingles by a MinHash LSH forest with exact verification.
+"""Near-duplicate join on word shingles by fixed MinHash bands with exact verification.
 
-Each distinct text gets a signature of MinHash values, read as the paths of several
-prefix tries (trees). Texts whose paths share a prefix in some tree are candidates;
-prefixes are shortened until the chance that a pair of the threshold's similarity
-shares one in no tree is below the target. Each candidate pair is verified once, in
+Each distinct text gets a signature of MinHash values, cut into bands (trees). Texts
+that share the prefix of a band are candidates; its length is fixed beforehand so
+that the chance that a pair of the threshold's similarity shares none is below the
+target. Each candidate pair is verified once, in
 the first tree where it meets, by the exact Jaccard similarity of its shingle sets.
 
 Pairs are never rows: a task holds the members of a bucket, or of two of its blocks
