@@ -69,6 +69,16 @@ def item_classes(sets: list[np.ndarray]) -> list[ItemClass]:
     return classes
 
 
+def short_items(sets: list[np.ndarray], lengths: list[int], width: int) -> list[tuple[int, np.ndarray, np.ndarray]]:
+    """For each length in words below `width`: the one shingle of every item of that length, and the items."""
+    found = []
+    for length in range(1, width):
+        owners = np.array([i for i, n in enumerate(lengths) if n == length], np.int64)
+        if len(owners):
+            found.append((length, np.array([sets[i][0] for i in owners], np.uint64), owners))
+    return found
+
+
 def candidates(shingles: np.ndarray, group: ItemClass) -> np.ndarray:
     """Items of one class that agree with a window of the document in a MinHash value.
 
@@ -121,8 +131,8 @@ def find_items(docs: DataFrame, items: DataFrame, width: int = 5, least: float =
     of the distinct shingles occur in the document. The items are a stated query
     set; they go over all documents in blocks of about `words` words, which bounds
     what the driver and each task hold, and further blocks add to _hits. Items
-    without words are in no document; items or texts of fewer words than a shingle
-    are one shingle. Repeated documents are searched each, repeated items are one
+    without words are in no document; an item of fewer words than a shingle is
+    sought as a run of its own length. Repeated documents are searched each, repeated items are one
     item for each id. A null or empty text and empty tables give empty arrays.
     """
     fields = docs.schema
@@ -142,7 +152,10 @@ def _search(docs: DataFrame, block: list[tuple], text: str, schema: str, width:
     hashes = WordHash()
     sets = [shingle_set(t, width, hashes) for _, t in block]
     ids = [i for i, _ in block]
-    classes = item_classes(sets)
+    none = np.zeros(0, np.uint64)
+    short = short_items(sets, [len(t.encode("utf-8", "surrogatepass").split()) for _, t in block], width)
+    brief = {item for _, _, owners in short for item in owners.tolist()}
+    classes = item_classes([none if i in brief else x for i, x in enumerate(sets)])
 
     def searched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = WordHash()
@@ -159,6 +172,9 @@ def _search(docs: DataFrame, block: list[tuple], text: str, schema: str, width:
                         share = float(np.isin(sets[item], own, assume_unique=True).mean())
                         if share >= least:
                             here.append({"item_id": ids[item], "containment": share})
+                for length, values, owners in short:
+                    whole = owners[np.isin(values, shingle_hashes(words, length))]
+                    here += [{"item_id": ids[item], "containment": 1.0} for item in whole.tolist()]
                 hits.append(here)
             at = batch.schema.get_field_index("_hits")
             before = batch.column(at).to_pylist()

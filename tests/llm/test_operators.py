@@ -143,6 +143,13 @@ def test_contained_items(spark, docs):
     assert contaminated(docs, items.limit(0)).count() == 0
 
 
+def test_short_items_in_long_texts(spark):
+    texts = spark.createDataFrame([(1, f"{BASE} few words here {BASE}"), (2, "few words"), (3, BASE)], "doc_id long, text string")
+    items = spark.createDataFrame([(1, "few words"), (2, "words here w"), (3, "here")], "item_id long, text string")
+    hits = {(r.doc_id, r.item_id, r.containment) for r in contaminated(texts, items).collect()}
+    assert hits == {(1, 1, 1.0), (1, 3, 1.0), (2, 1, 1.0)}
+
+
 def test_token_counts():
     tokenizers = pytest.importorskip("tokenizers")
     public = pytest.importorskip("public_tokenizers")
