@@ -98,3 +98,46 @@ def op10_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     from amperline.llm.katz import score_texts
 
     return score_texts(table(spark, sf_dir, "documents"))
+
+
+@query
+def op12_simhash_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprints of all documents and the components that hang together by few bits."""
+    from amperline.llm.simhash import fingerprint_components
+
+    return fingerprint_components(table(spark, sf_dir, "documents"))
+
+
+@query
+def op13_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of all anchors among all embeddings."""
+    from amperline.llm.negatives import mined_negatives
+
+    return mined_negatives(table(spark, sf_dir, "embeddings"))
+
+
+ORACLES["op13_hard_negatives"] = """
+WITH e AS (
+    SELECT vec_id,
+           CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+           list_transform(embedding, lambda x: floor(256 * CAST(x AS DOUBLE))) AS v
+    FROM embeddings
+    WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+      AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), s AS (
+    SELECT a.vec_id AS anchor_id, a.label AS anchor_label, e.vec_id, e.label,
+           CAST(list_dot_product(a.v, e.v) AS BIGINT) AS score
+    FROM e AS a JOIN e ON a.vec_id <> e.vec_id
+    WHERE a.vec_id % 50 = 0
+), p AS (
+    SELECT anchor_id, vec_id AS positive_id, score AS positive_score
+    FROM s WHERE label = anchor_label
+    QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, vec_id) <= 5
+)
+SELECT p.anchor_id, p.positive_id,
+       CAST(row_number() OVER (PARTITION BY p.anchor_id, p.positive_id ORDER BY s.score DESC, s.vec_id) AS INTEGER) AS rank,
+       s.vec_id AS negative_id, p.positive_score, s.score AS negative_score
+FROM p JOIN s ON s.anchor_id = p.anchor_id AND s.label <> s.anchor_label
+WHERE 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
+QUALIFY rank <= 3
+"""
