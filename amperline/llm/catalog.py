@@ -141,3 +141,60 @@ FROM p JOIN s ON s.anchor_id = p.anchor_id AND s.label <> s.anchor_label
 WHERE 50 * p.positive_score <= 100 * s.score AND 100 * s.score <= 95 * p.positive_score
 QUALIFY rank <= 3
 """
+
+
+@query
+def op11_filter_audit(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Interaction of five filters over all documents, in all orders."""
+    from amperline.llm.audit import audit_filters
+
+    return audit_filters(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+ORACLES["op11_filter_audit"] = r"""
+WITH d AS (
+    SELECT doc_id, coalesce(lang, '') AS part, coalesce(text, '') AS text FROM documents
+), w AS (
+    SELECT *, regexp_extract_all(text, '[^\x20\x09-\x0D]+') AS words,
+           min(doc_id) OVER (PARTITION BY text) AS least
+    FROM d
+), f AS (
+    SELECT doc_id, part,
+           CASE WHEN len(words) < 100 THEN 1 ELSE 0 END
+           + CASE WHEN 100 * len(list_distinct(words)) < 80 * len(words) THEN 2 ELSE 0 END
+           + CASE WHEN 100 * length(regexp_replace(text, '[^A-Z]', '', 'g')) > 10 * length(text) THEN 4 ELSE 0 END
+           + CASE WHEN regexp_matches(text, '[#$%&*|]') THEN 8 ELSE 0 END
+           + CASE WHEN doc_id > least THEN 16 ELSE 0 END AS mask
+    FROM w
+), l AS (
+    SELECT doc_id, max(CASE WHEN quality = 1 THEN 1 ELSE 0 END) AS good, max(CASE WHEN toxic = 1 THEN 1 ELSE 0 END) AS toxic
+    FROM labels GROUP BY doc_id
+), c AS (
+    SELECT part, mask, coalesce(good, 0) AS good, coalesce(toxic, 0) AS toxic, count(*) AS n
+    FROM f LEFT JOIN l USING (doc_id) GROUP BY ALL
+), x(letter, bit) AS (
+    VALUES ('A', 1), ('B', 2), ('C', 4), ('D', 8), ('E', 16)
+), o AS (
+    SELECT a.letter || b.letter || c.letter || d.letter || e.letter AS filter_order
+    FROM x a, x b, x c, x d, x e
+    WHERE a.bit + b.bit + c.bit + d.bit + e.bit = 31
+      AND a.bit | b.bit | c.bit | d.bit | e.bit = 31
+), s AS (
+    SELECT filter_order, step, substr(filter_order, step, 1) AS letter,
+           (SELECT bit FROM x WHERE x.letter = substr(filter_order, step, 1)) AS own,
+           coalesce((SELECT sum(bit) FROM x WHERE strpos(filter_order, x.letter) < step), 0)::INTEGER AS earlier
+    FROM o, (SELECT unnest([1, 2, 3, 4, 5])::INTEGER AS step)
+), r AS (
+    SELECT part, filter_order, step, letter,
+           sum(CASE WHEN mask & earlier = 0 AND mask & own = 0 THEN n ELSE 0 END)::BIGINT AS kept,
+           sum(CASE WHEN mask & earlier = 0 AND mask & own <> 0 THEN n ELSE 0 END)::BIGINT AS removed,
+           sum(CASE WHEN mask & earlier <> 0 AND mask & own <> 0 THEN n ELSE 0 END)::BIGINT AS redundant,
+           sum(CASE WHEN mask = own THEN n ELSE 0 END)::BIGINT AS unique_fails,
+           sum(CASE WHEN mask & earlier = 0 AND mask & own <> 0 AND good = 1 THEN n ELSE 0 END)::BIGINT AS good_lost,
+           sum(CASE WHEN mask & earlier = 0 AND mask & own <> 0 AND toxic = 1 THEN n ELSE 0 END)::BIGINT AS toxic_lost
+    FROM c, s GROUP BY ALL
+)
+SELECT part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       sum(removed) OVER (PARTITION BY part, letter)::BIGINT AS shapley
+FROM r
+"""

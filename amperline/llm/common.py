@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import groupby
 
 import numpy as np
 import pyarrow as pa
@@ -98,21 +99,18 @@ def record_batch(schema: pa.Schema, *columns) -> pa.RecordBatch:
     return pa.record_batch([pa.array(c, type=f.type) for c, f in zip(columns, schema, strict=True)], schema=schema)
 
 
-def runs(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[tuple[tuple[int, ...], pa.Table]]:
-    """Rows of one group of integer keys at a time, from rows that come sorted by these keys."""
-    held: list[pa.RecordBatch] = []
-    now: tuple[int, ...] = ()
+def slices(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[tuple[tuple[int, ...], pa.RecordBatch]]:
+    """Pieces of batches of one group of integer keys, from rows that come sorted by these keys."""
     for batch in batches:
         if not batch.num_rows:
             continue
         values = np.stack([batch.column(k).to_numpy(zero_copy_only=False).astype(np.int64) for k in keys])
         cuts = np.flatnonzero((values[:, 1:] != values[:, :-1]).any(axis=0)) + 1
         for a, b in zip(np.r_[0, cuts], np.r_[cuts, batch.num_rows], strict=True):
-            group = tuple(values[:, a].tolist())
-            if held and group != now:
-                yield now, pa.Table.from_batches(held)
-                held = []
-            now = group
-            held.append(batch.slice(a, b - a))
-    if held:
-        yield now, pa.Table.from_batches(held)
+            yield tuple(values[:, a].tolist()), batch.slice(a, b - a)
+
+
+def runs(batches: Iterator[pa.RecordBatch], *keys: str) -> Iterator[tuple[tuple[int, ...], pa.Table]]:
+    """Rows of one group of integer keys at a time, from rows that come sorted by these keys."""
+    for group, pieces in groupby(slices(batches, *keys), key=lambda x: x[0]):
+        yield group, pa.Table.from_batches([piece for _, piece in pieces])
