@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from amperline.llm.common import record_batch, slices, small_batches
+from amperline.llm.common import drawn_rows, record_batch, slices, small_batches
 from amperline.session import durable
 
 #: The filters in the order of the bits of a mask; the last one is the repeat of an earlier text.
@@ -100,14 +100,15 @@ def adaptive_prefixes(texts: DataFrame, ranges: int, sample: int = 8192, window:
     key = F.xxhash64(raw)
     # drawn by row and not by text: copies of one text are a part of the sample, not all of it
     rows = texts.select(raw.alias("raw"), key.alias("key"), F.xxhash64(key, "doc_id").alias("draw"))
+    total = texts.count()
     found: set[bytes] = set()
-    open_heads: list[tuple[bytes, int]] = [(b"", ranges)]
+    open_heads: list[tuple[bytes, int, int]] = [(b"", ranges, total)]
     while open_heads and window <= 1 << 22:
-        deeper: list[tuple[bytes, int]] = []
-        for beginning, pieces in open_heads:
+        deeper: list[tuple[bytes, int, int]] = []
+        for beginning, pieces, size in open_heads:
             part = rows.filter(F.substring("raw", 1, len(beginning)) == F.lit(beginning)) if beginning else rows
-            drawn = part.select("draw", "key", F.substring("raw", 1, window).alias("head")).orderBy("draw").limit(sample)
-            heads = sorted({key: bytes(head) for _, key, head in drawn.collect()}.values())
+            drawn = drawn_rows(part, F.col("draw"), size, sample).select("key", F.substring("raw", 1, window)).collect()
+            heads = sorted({key: bytes(head) for key, head in drawn}.values())
             fair = len(heads) / pieces
             last = 0
             counts = Counter(heads)
@@ -118,7 +119,8 @@ def adaptive_prefixes(texts: DataFrame, ranges: int, sample: int = 8192, window:
                     last = place
             for head, count in counts.items():
                 if count > 2 * fair and count > 8 and len(head) == window:
-                    deeper.append((head, max(2, int(count / max(fair, 1)))))
+                    share = max(2, int(count / max(fair, 1)))
+                    deeper.append((head, share, size * count // len(heads)))
         open_heads, window, sample = deeper, window * 4, max(256, sample // 4)
     return sorted(found)
 

@@ -32,6 +32,17 @@ def text_key(text: Column) -> Column:
     return F.unhex(F.sha2(F.coalesce(text.cast("string"), F.lit("")), 256))
 
 
+def drawn_rows(rows: DataFrame, draw: Column, total: int, size: int) -> DataFrame:
+    """At most `size` rows, those of the smallest hashes `draw`; `total` is about their number.
+
+    Hashes far above are filtered first, so that all tasks together send about twice the
+    sample, however many they are.
+    """
+    bound = min(2**63 - 1, -(2**63) + int(2**64 * min(1.0, 2 * size / max(total, 1))))
+    marked = rows.withColumn("_draw", draw).filter(F.col("_draw") <= F.lit(bound))
+    return marked.orderBy("_draw").limit(size).drop("_draw")
+
+
 def mixed(values: np.ndarray) -> np.ndarray:
     """Spread 64-bit values evenly (the finisher of splitmix64)."""
     values = values.astype(np.uint64, copy=True)

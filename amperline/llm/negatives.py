@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from amperline.llm.common import record_batch, runs
+from amperline.llm.common import drawn_rows, record_batch, runs
 from amperline.session import discard, durable, scratch_folder
 
 #: Candidates that members of a chunk look at between two looks at the bound.
@@ -197,7 +197,7 @@ def _centres(sample: np.ndarray, clusters: int) -> np.ndarray:
 
 def _chunked(queries: DataFrame, clusters: int, members: int, sample: int) -> DataFrame:
     """Anchors with the number of their chunk; chunks are pieces of one cluster, of about `members` each."""
-    drawn = queries.orderBy(F.xxhash64("akey", F.lit(3)), "id").limit(sample).select("vector").toArrow()
+    drawn = drawn_rows(queries, F.xxhash64("akey", F.lit(3)), queries.count(), sample).select("vector").toArrow()
     if not drawn.num_rows:
         return queries.withColumn("chunk", F.lit(0).cast("long"))
     centres = _centres(_matrix(drawn.column("vector")), clusters)
@@ -246,14 +246,15 @@ def hard_negatives(
     table gives an empty result, further columns are not read.
     """
     spark = rows.sparkSession
-    places = [scratch_folder(spark) for _ in range(3)]
+    places = [scratch_folder(spark) for _ in range(4)]
     finite = F.forall("vector", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     whole = rows.select("id", "label", "vector", is_anchor.alias("asks")).filter(
         F.col("id").isNotNull() & F.col("label").isNotNull() & F.col("vector").isNotNull() & finite
     )
     whole = durable(whole, places[0])
-    queries = whole.filter("asks").select("id", "label", "vector", F.xxhash64("id", "label", "vector").alias("akey"))
-    chunks = durable(_chunked(queries.dropDuplicates(["id", "akey"]), clusters, members, sample), places[1])
+    keyed = whole.filter("asks").select("id", "label", "vector", F.xxhash64("id", "label", "vector").alias("akey"))
+    queries = durable(keyed.dropDuplicates(["id", "akey"]), places[1])
+    chunks = durable(_chunked(queries, clusters, members, sample), places[2])
     # part sizes grow with the root of the table, so that chunks are copied to few parts and a part fits in a task
     total = whole.count()
     parts = max(1, -(-total // min(131_072, max(1024, 16 * isqrt(total)))))
@@ -276,7 +277,7 @@ def hard_negatives(
     best = Window.partitionBy(*key).orderBy(F.desc("score"), "id")
     near = _over_parts(candidates, chunks, parts, True, any_positive)
     near = near.withColumn("place", F.row_number().over(best) - 1).filter(F.col("place") < positives)
-    near = durable(near.withColumnsRenamed({"id": "positive_id", "score": "positive_score"}), places[2])
+    near = durable(near.withColumnsRenamed({"id": "positive_id", "score": "positive_score"}), places[3])
     # at most `positives` scores for each anchor, in the order of their places
     scores = near.groupBy(*key).agg(
         F.transform(F.array_sort(F.collect_list(F.struct("place", "positive_score"))), lambda x: x["positive_score"]).alias(
