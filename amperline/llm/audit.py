@@ -121,7 +121,7 @@ def adaptive_prefixes(texts: DataFrame, ranges: int, sample: int = 8192, window:
                 if count > 2 * fair and count > 8 and len(head) == window:
                     share = max(2, int(count / max(fair, 1)))
                     deeper.append((head, share, size * count // len(heads)))
-        open_heads, window, sample = deeper, window * 4, max(256, sample // 4)
+        open_heads, window, sample = deeper, window * 4, max(32, sample // 4)
     return sorted(found)
 
 
