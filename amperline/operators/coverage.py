@@ -6,6 +6,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from amperline.functions.clock import instant
+from amperline.session import durable
+from amperline.sources.control import ControlTable
 
 
 def hours(count: Column | int) -> Column:
@@ -66,3 +68,34 @@ def advance(windows: DataFrame, received: DataFrame, keys: list[str]) -> DataFra
         .otherwise(F.col("watermark"))
         .alias("watermark"),
     )
+
+
+def advance_control(
+    table: ControlTable,
+    keys: list[str],
+    received: DataFrame,
+    now,
+    bootstrap_start,
+    *,
+    safety_lag_hours: int = 2,
+    max_window_hours: int | None = None,
+) -> DataFrame:
+    """Plan the next window from the stored watermarks, check its coverage and store what advanced.
+
+    The state is read at one version and committed on that version, so that of two runs
+    at the same time one fails and leaves no trace. A window with a missing hour, and a
+    key that is up to date, keep their watermark; if none advances, no version is
+    written. Returns the window of every planned key, with the version that is in force.
+    """
+    version, state = table.read()
+    windows = next_window(state, now, bootstrap_start, safety_lag_hours, max_window_hours)
+    report = durable(
+        windows.withColumnRenamed("watermark", "watermark_before")
+        .join(advance(windows, received, keys), keys)
+        .select(*keys, "watermark_before", "window_start", "window_end", "missing_hours", "watermark")
+    )
+    moved = report.where("missing_hours = 0").select(*keys, F.col("watermark").alias("moved"))
+    if not moved.isEmpty():
+        kept = state.join(moved, keys, "left").withColumn("watermark", F.coalesce("moved", "watermark"))
+        version = table.commit(kept.drop("moved"), version)
+    return report.withColumn("version", F.lit(version))

@@ -2,10 +2,17 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+import uuid
+
+from py4j.protocol import Py4JJavaError
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from amperline.functions.parsing import parsed_once
+from amperline.sources.commits import publish_once, read_published, remove
+
+#: The file whose appearance makes a run visible.
+MANIFEST = "manifest.json"
 
 # Objects are kept as JSON text: contract checks need the field names as landed.
 _DOCUMENT = "metadata STRING, records ARRAY<STRING>"
@@ -39,6 +46,21 @@ def snapshot_records(documents: DataFrame) -> DataFrame:
     return documents.select("snapshot", F.posexplode("records").alias("position", "record"))
 
 
+def stage_records(records: DataFrame, folder: str) -> tuple[str, int]:
+    """Write the records of a run, one JSON line each, and return the part's name and their number.
+
+    Rows are counted while they are written. What is staged is invisible to readers
+    until a manifest names it; a second attempt stages a part of its own.
+    """
+    spark, part, seen = records.sparkSession, f"records-{uuid.uuid4().hex}", Observation()
+    written = records.observe(seen, F.count(F.lit(1)).alias("rows"))
+    written.write.option("ignoreNullFields", False).json(f"{folder}/{part}")
+    try:
+        return part, seen.get["rows"]
+    except Py4JJavaError:  # a plan found empty by the optimizer leaves nothing to observe
+        return part, spark.read.text(f"{folder}/{part}").count()
+
+
 def land_snapshot(
     records: DataFrame,
     root: str,
@@ -52,14 +74,20 @@ def land_snapshot(
 ) -> int:
     """Write an immutable snapshot of records under today's ingestion date.
 
-    Records become one JSON line each, so a large snapshot is written in
-    parallel; the metadata sits beside them. The output committer publishes a
-    run only as a whole, and an existing run is never overwritten.
+    Records become one JSON line each, so a large snapshot is written in parallel.
+    The manifest with the metadata comes last and is the one commit of the run: a run
+    that broke off before has none and is not seen. An existing run is never
+    overwritten; of two writers of one run the second fails and removes its records.
     """
     spark = records.sparkSession
-    total = records.count()
-    if total == 0:
-        raise ValueError("an empty snapshot is not written")
+    folder = f"{root.rstrip('/')}/ingestion_date={ingested_at[:10]}/run_id={run_id}"
+    manifest = f"{folder}/{MANIFEST}"
+    if read_published(spark, manifest) is not None:
+        raise FileExistsError(f"run {run_id} exists already")
+    state = query_state.strip().upper() if query_state is not None else None
+    if state is not None and not (len(state) == 2 and state.isalpha()):
+        raise ValueError("query_state must be a two-letter state code")
+    part, total = stage_records(records, folder)
     metadata: dict[str, object] = {
         "source": source,
         "dataset": dataset,
@@ -68,36 +96,40 @@ def land_snapshot(
         "ingested_at": ingested_at,
         "record_count": total,
     }
-    if query_state is not None:
-        state = query_state.strip().upper()
-        if len(state) != 2 or not state.isalpha():
-            raise ValueError("query_state must be a two-letter state code")
-        if total_results is None or total_results < total:
-            raise ValueError("total_results cannot be smaller than the record count")
-        metadata |= {"query_state": state, "total_results": total_results}
-    folder = f"{root.rstrip('/')}/ingestion_date={ingested_at[:10]}/run_id={run_id}"
-    records.write.mode("errorifexists").option("ignoreNullFields", False).json(f"{folder}/records")
-    columns = [F.lit(value).alias(name) for name, value in metadata.items()]
-    spark.range(1).select(*columns).coalesce(1).write.mode("errorifexists").json(
-        f"{folder}/metadata"
-    )
+    try:
+        if total == 0:
+            raise ValueError("an empty snapshot is not written")
+        if state is not None:
+            if total_results is None or total_results < total:
+                raise ValueError("total_results cannot be smaller than the record count")
+            metadata |= {"query_state": state, "total_results": total_results}
+        if not publish_once(spark, manifest, {"metadata": metadata, "records": part}):
+            raise FileExistsError(f"run {run_id} was landed by another writer")
+    except (ValueError, FileExistsError):
+        remove(spark, f"{folder}/{part}")
+        raise
     return total
 
 
 def read_landed_runs(spark: SparkSession, root: str) -> tuple[DataFrame, DataFrame]:
     """Snapshots and records of runs written by ``land_snapshot``.
 
-    Both are keyed by the run folder, in the shape the contract checks expect.
+    Both are keyed by the run folder, in the shape the contract checks expect. Records
+    that no manifest names, of a run that broke off, are left out.
     """
     base = root.rstrip("/")
     run = F.regexp_extract(F.input_file_name(), r"run_id=([^/]+)/", 1).alias("snapshot")
-    snapshots = spark.read.text(f"{base}/*/*/metadata").select(
-        run, F.col("value").alias("metadata")
+    part = F.regexp_extract(F.input_file_name(), r"/(records-[^/]+)/", 1).alias("part")
+    manifests = spark.read.text(f"{base}/*/*/{MANIFEST}", wholetext=True).select(
+        run,
+        F.get_json_object("value", "$.records").alias("part"),
+        F.get_json_object("value", "$.metadata").alias("metadata"),
     )
-    records = spark.read.text(f"{base}/*/*/records").select(
-        run, F.monotonically_increasing_id().alias("position"), F.col("value").alias("record")
+    records = spark.read.text(f"{base}/*/*/records-*").select(
+        run, part, F.monotonically_increasing_id().alias("position"), F.col("value").alias("record")
     )
-    return snapshots, records
+    landed = records.join(manifests.select("snapshot", "part"), ["snapshot", "part"], "left_semi")
+    return manifests.drop("part").withColumn("has_records", F.lit(True)), landed.drop("part")
 
 
 # Provider responses ---------------------------------------------------------

@@ -12,6 +12,7 @@ from pyspark.sql.streaming import StreamingQuery
 from amperline.operators.envelope import invalid_envelopes, parse_envelopes, valid_envelopes
 from amperline.operators.publish import dead_letters
 from amperline.sources.tables import LAYERS, exists, table_path
+from amperline.streaming.outcomes import HandlerFailed, OutcomeLog
 
 
 def stream_identity(spark: SparkSession, checkpoint: str) -> str:
@@ -41,11 +42,16 @@ def _replace_batch(frame: DataFrame, root: str, name: str, stream: str, batch_id
 
 
 def bronze_batch(
-    root: str, namespace: str, stream: str, handler: Callable[[DataFrame], None] | None = None
+    root: str,
+    namespace: str,
+    stream: str,
+    handler: Callable[[DataFrame], None] | None = None,
+    outcomes: OutcomeLog | None = None,
 ) -> Callable[[DataFrame, int], None]:
     """Batch function: valid rows to Bronze, rejected rows to quarantine and
     dead letters. An exception, also one from ``handler``, leaves the offsets of
-    the batch uncommitted, so it is delivered again.
+    the batch uncommitted, so it is delivered again. ``outcomes`` gets an entry for
+    every attempt that the handler ended and for the end of the batch.
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
@@ -58,7 +64,13 @@ def bronze_batch(
         try:
             valid, invalid = valid_envelopes(parsed), invalid_envelopes(parsed)
             if handler is not None:
-                handler(valid)
+                try:
+                    handler(valid)
+                except Exception as error:
+                    if outcomes is not None:
+                        rows = error.rows if isinstance(error, HandlerFailed) else valid
+                        outcomes.failed(rows, f"{stream}-{batch_id}")
+                    raise
             _replace_batch(valid, root, "bronze_events", stream, batch_id)
             _replace_batch(invalid, root, "bronze_quarantine", stream, batch_id)
             letters = dead_letters(
@@ -68,6 +80,8 @@ def bronze_batch(
                 F.concat_ws("-", F.lit("dlq"), "topic", "partition", "offset"),
             )
             _replace_batch(letters, root, "dead_letters", stream, batch_id)
+            if outcomes is not None:
+                outcomes.done(parsed, f"{stream}-{batch_id}")
         finally:
             conf.set("spark.sql.adaptive.enabled", adaptive)
             parsed.unpersist()
@@ -82,6 +96,7 @@ def start_bronze(
     *,
     namespace: str = "events",
     handler: Callable[[DataFrame], None] | None = None,
+    outcomes: OutcomeLog | None = None,
 ) -> StreamingQuery:
     """Drain what is available and stop; the checkpoint carries on next time.
 
@@ -93,7 +108,7 @@ def start_bronze(
         .writeStream.queryName("bronze")
         .option("checkpointLocation", checkpoint)
         .trigger(availableNow=True)
-        .foreachBatch(bronze_batch(root, namespace, stream, handler))
+        .foreachBatch(bronze_batch(root, namespace, stream, handler, outcomes))
         .start()
     )
 

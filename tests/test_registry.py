@@ -2,8 +2,7 @@ import duckdb
 import pytest
 
 import __spark_entry__ as contract
-from amperline.plans.catalog import REGISTRY
-from amperline.plans.oracles import ORACLES
+from amperline.plans.registry import ORACLES, REGISTRY
 from check_oracles import TABLES, rows_of
 
 SF = "/root/testdata/sf0.001"
