@@ -9,6 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from amperline.functions.numeric import shown
+from amperline.operators.typed import TypedSource
 
 
 def layer_counts(spark, layers: Iterable[tuple[str, str, DataFrame | None]]) -> DataFrame:
@@ -24,6 +25,40 @@ def layer_counts(spark, layers: Iterable[tuple[str, str, DataFrame | None]]) ->
     return reduce(DataFrame.unionByName, parts)
 
 
+def source_counts(
+    candidates: DataFrame, spec: TypedSource, grain: tuple[str, ...] | None
+) -> DataFrame:
+    """Rows that one source has in Bronze, Silver, Gold and quarantine, without writing a layer.
+
+    Silver holds one row per business key with a valid record, so its rows are the keys.
+    Gold is grouped by ``grain`` of the newest record of each key, or has a row for each
+    Silver row if there is no grain. Only these columns are carried, counts are summed
+    in the map tasks, and no row is stored.
+    """
+    valid = F.col("is_valid")
+    newest = F.struct(*spec.newest_by, "event_emitted_at", "kafka_timestamp", "partition", "offset")
+    shown_as = F.max_by(F.struct(*grain), newest) if grain else F.lit(None)
+    per_key = candidates.groupBy(
+        "is_valid", *[F.when(valid, F.col(name)).alias(name) for name in spec.business_key]
+    ).agg(F.count("*").alias("records"), shown_as.alias("grain"))
+    if grain:
+        per_key = per_key.groupBy("is_valid", F.when(valid, F.col("grain"))).agg(
+            F.sum("records").alias("records"), F.count("*").alias("keys"), F.lit(1).alias("rows")
+        )
+    else:
+        per_key = per_key.select("is_valid", "records", F.lit(1).alias("keys"), F.lit(1).alias("rows"))
+
+    def total(name: str, condition: Column) -> Column:
+        return F.coalesce(F.sum(F.when(condition, F.col(name))), F.lit(0)).cast("long")
+
+    return per_key.agg(
+        total("records", F.lit(True)).alias("BRONZE"),
+        total("keys", valid).alias("SILVER"),
+        total("rows", valid).alias("GOLD"),
+        total("records", ~valid).alias("QUARANTINE"),
+    )
+
+
 def conservation(counts: DataFrame) -> DataFrame:
     """Reconcile Bronze with Silver.
 

@@ -504,34 +504,39 @@ def worst_state(spark, sf):
     return lineage.worst_state(_nodes(spark, sf))
 
 
+DATASETS = {"eia": "EIA Grid", "nws": "NWS Weather", "afdc": "AFDC EV"}
+GRAINS = {
+    "eia": ("period", "respondent", "respondent_name"),
+    "nws": None,
+    "afdc": ("city", "state", "country"),
+}
+
+
 def _layer_counts(spark, sf):
-    """Counts over layers that are stored one after the other, as the jobs do."""
-    bronze = durable(
-        b.electricity_bronze(spark, sf)
-        .unionByName(b.weather_bronze(spark, sf), allowMissingColumns=True)
-        .unionByName(b.station_bronze(spark, sf), allowMissingColumns=True)
-    )
-    candidates = {spec.source: typed.typed_candidates(bronze, spec) for spec in typed.TYPED_SOURCES}
-    silver = {
-        spec.source: durable(typed.latest_valid(candidates[spec.source], spec))
-        for spec in typed.TYPED_SOURCES
+    """Counts of all layers from one pass over the records of each source, without storing one."""
+    bronze = {
+        "eia": b.electricity_bronze(spark, sf),
+        "nws": b.weather_bronze(spark, sf),
+        "afdc": b.station_bronze(spark, sf),
     }
-    names = {"eia": "EIA Grid", "nws": "NWS Weather", "afdc": "AFDC EV"}
-    shapes = {
-        "eia": gold.hourly_grid,
-        "nws": gold.hourly_weather,
-        "afdc": gold.city_infrastructure,
-    }
-    return quality.layer_counts(
-        spark,
-        [
-            ("BRONZE", "All", bronze),
-            *[("SILVER", names[source], frame) for source, frame in silver.items()],
-            *[("GOLD", names[source], shapes[source](silver[source])) for source in silver],
-            ("QUARANTINE", "All", typed.quarantined(candidates)),
-            ("NOT_ROUTED", "All", bronze.where(~F.col("source").isin(*names))),
-        ],
-    )
+    counted = []
+    for spec in typed.TYPED_SOURCES:
+        candidates = typed.typed_candidates(bronze[spec.source], spec)
+        row = quality.source_counts(candidates, spec, GRAINS[spec.source])
+        counted.append(
+            row.unpivot([], row.columns, "layer", "rows").withColumn(
+                "source", F.lit(spec.source)
+            )
+        )
+    # the bus of electricity also carries messages that no Silver table takes
+    other = bronze["eia"].where(~F.col("source").isin(*DATASETS)).agg(F.count("*").alias("rows"))
+    for layer in ("BRONZE", "NOT_ROUTED"):
+        counted.append(other.select(F.lit(layer).alias("layer"), "rows", F.lit("eia").alias("source")))
+    dataset = b.lookup("source", DATASETS)
+    parts = reduce(DataFrame.unionByName, counted).withColumn(
+        "dataset", F.when(F.col("layer").isin("SILVER", "GOLD"), dataset).otherwise("All")
+    )
+    return parts.groupBy("layer", "dataset").agg(F.sum("rows").alias("rows"))
 
 
 @query
