@@ -16,6 +16,7 @@ from pyspark.sql import functions as F
 from amperline.functions.clock import parse_hour
 from amperline.functions.parsing import parsed_once
 from amperline.functions.rules import Rule, first_failure
+from amperline.session import durable
 
 _METADATA = ("source", "dataset", "schema_version", "run_id", "ingested_at", "record_count")
 _ISO_OFFSET = r"^\d{4}-\d{2}-\d{2}[T ]\d{2}:\d{2}(:\d{2}(\.\d+)?)?(Z|[+-]\d{2}:?\d{2})$"
@@ -306,15 +307,25 @@ def validate_snapshots(
             "query_state": F.get_json_object("metadata", "$.query_state"),
         }
     )
+    # parsed once and stored narrow: the texts of the records take part in no join and no shuffle
+    unstated = records.withColumn("query_state", F.lit(None).cast("string"))
+    judged = durable(
+        record_violations(unstated, contract).select(
+            "snapshot",
+            "position",
+            "reason",
+            unique_key(contract).alias("unique_key"),
+            F.upper(F.trim(raw("state"))).alias("state"),
+        )
+    )
     if contract.by_state:
-        keyed = records.join(described.select("snapshot", "query_state"), "snapshot")
-    else:
-        keyed = records.withColumn("query_state", F.lit(None).cast("string"))
+        # the last of the record rules, and the only one that needs the snapshot
+        mismatch = F.when(F.col("state") != F.upper("query_state"), "state_mismatch")
+        judged = judged.join(described.select("snapshot", "query_state"), "snapshot").withColumn(
+            "reason", F.coalesce("reason", mismatch)
+        )
     # the first two records of each key are kept in the map tasks already, however often it occurs
     nth = Window.partitionBy("snapshot", "unique_key").orderBy("position")
-    judged = record_violations(keyed, contract).select(
-        "snapshot", "position", "reason", unique_key(contract).alias("unique_key")
-    )
     per_record = judged.groupBy("snapshot").agg(
         F.count("*").alias("record_count"),
         F.min(

@@ -528,6 +528,66 @@ def station_records(spark: SparkSession, sf: str) -> DataFrame:
     return payload_records(station_rows(spark, sf), payload, F.substring("r_name", 1, 2))
 
 
+def _snapshot_metadata(rows: DataFrame, source: str, dataset: str, *by_state: Column) -> DataFrame:
+    """Metadata of snapshots, some with a wrong count, without run id or with the count as text."""
+    number = F.col("snapshot_no")
+    counted = rows.groupBy("snapshot", "snapshot_no").agg(F.count("*").alias("found"))
+    metadata = F.to_json(
+        F.struct(
+            F.lit(source).alias("source"),
+            F.lit(dataset).alias("dataset"),
+            F.lit("1.0").alias("schema_version"),
+            F.when(number % 41 != 2, F.col("snapshot")).alias("run_id"),
+            F.lit(NOW).alias("ingested_at"),
+            F.when(number % 37 == 1, F.col("found") + 1).otherwise(F.col("found")).alias("record_count"),
+            *by_state,
+        )
+    )
+    as_text = F.regexp_replace(metadata, r'"record_count":(\d+)', '"record_count":"$1"')
+    return counted.select("snapshot", F.when(number % 43 == 3, as_text).otherwise(metadata).alias("metadata"))
+
+
+def weather_snapshots(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Daily forecasts of a nation as landed snapshots; every fourth record writes 40.0 as 40."""
+    day = F.datediff(F.to_date("emitted"), F.lit("1992-01-01").cast("date"))
+    rows = weather_rows(spark, sf).withColumns(
+        {
+            "partition_key": F.concat_ws("-", "partition_key", iso("emitted", "yyyyMMdd")),
+            "snapshot_no": day * 25 + F.col("s_nationkey"),
+        }
+    )
+    payload = weather_payload()
+    records = payload_records(rows, payload, F.lit(None).cast("string"))
+    whole = F.regexp_replace("record", r'("l(?:at|ong)itude":-?\d+)\.0,', "$1,")
+    # the line number is in the position, which is made of it
+    short = F.floor(F.col("position") / 1_000_000) % 8 % 4 == 1
+    named = rows.withColumnRenamed("partition_key", "snapshot")
+    return (
+        _snapshot_metadata(named, "nws", "nws_hourly_forecast"),
+        records.drop("query_state").withColumn("record", F.when(short, whole).otherwise(F.col("record"))),
+    )
+
+
+def station_snapshots(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Stations of a state in 300 landed snapshots each, some with bad totals or a bad state."""
+    state, slot = F.substring("r_name", 1, 2), F.col("c_custkey") % 300
+    rows = station_rows(spark, sf).withColumns(
+        {
+            "partition_key": F.concat_ws("-", state, slot),
+            "snapshot_no": slot + 300 * F.col("n_regionkey"),
+        }
+    )
+    payload = F.struct(*_station_payload("station_id", "zip_code"))
+    records = payload_records(rows, payload, state).drop("query_state")
+    number, found = F.col("snapshot_no"), F.col("found")
+    total = (
+        F.when(number % 29 == 3, found - 1).when(number % 23 != 5, found + 4).alias("total_results")
+    )
+    code = F.when(number % 31 == 4, "O1").otherwise(F.substring("snapshot", 1, 2)).alias("query_state")
+    named = rows.withColumnRenamed("partition_key", "snapshot")
+    return _snapshot_metadata(named, "afdc", "afdc_ev_stations", code, total), records
+
+
 # provider responses ---------------------------------------------------------------
 
 

@@ -23,7 +23,7 @@ from amperline.operators import (
     scoring,
     typed,
 )
-from amperline.operators.envelope import decode_records, parse_envelopes, valid_envelopes
+from amperline.operators.envelope import decode_records, parse_envelopes
 from amperline.plans import bridges as b
 from amperline.plans import serving
 from amperline.session import durable, scratch_folder
@@ -749,38 +749,6 @@ def replay_plan(spark, sf):
     )
 
 
-@query
-def published_envelopes(spark, sf):
-    """Landed records normalised, enveloped, serialised and parsed back."""
-    _, records = b.landed_snapshots(spark, sf)
-    normal = contracts.normalised_electricity(records)
-    ready = publish.envelopes(
-        normal.where(F.col("period").isNotNull() & F.col("value").isNotNull()),
-        "eia",
-        b.NOW,
-        event_id=F.concat_ws("-", F.lit("pub"), "respondent", "record_type"),
-    )
-    messages = publish.bus_messages(ready, b.ELECTRICITY_TOPIC).select(
-        "*",
-        F.lit(0).alias("partition"),
-        F.lit(0).cast("long").alias("offset"),
-        instant(b.NOW).alias("timestamp"),
-    )
-    return valid_envelopes(parse_envelopes(messages)).select(
-        "topic",
-        "kafka_key",
-        "event_id",
-        "source",
-        "dataset",
-        "event_type",
-        "partition_key",
-        "replay",
-        "source_timestamp",
-        F.get_json_object("payload_json", "$.value").cast("double").alias("value"),
-        F.get_json_object("payload_json", "$.value_units").alias("value_units"),
-    )
-
-
 @query
 def flatten_electricity(spark, sf):
     return landed.flatten_electricity(b.electricity_responses(spark, sf))

@@ -2,7 +2,18 @@
 
 from __future__ import annotations
 
-from amperline.plans.oracles import ENVELOPES, EVENTS, METRICS, ORACLES, TOPIC, _with
+from amperline.plans.oracles import (
+    ENVELOPES,
+    EVENTS,
+    LANDED,
+    METRICS,
+    ORACLES,
+    STATIONS,
+    TOPIC,
+    WEATHER,
+    _with,
+)
+from amperline.sources.schemas import EVENT_KINDS
 
 _SAFE = "TIMESTAMP '2024-01-31 10:00:00'"
 
@@ -44,6 +55,84 @@ state{run} AS (
     )
 
 
+def _judged(parts: str, records: str, key: str, first: str) -> str:
+    """Reasons from rows with snapshot, no, off and reason; ``first`` are the checks of the metadata."""
+    return (
+        parts
+        + f""",
+records AS ({records}),
+keyed AS (
+  SELECT *, row_number() OVER (PARTITION BY snapshot, {key} ORDER BY off) AS nth FROM records),
+judged AS (
+  SELECT snapshot, any_value(no) AS no, count(*) AS record_count,
+    count(*) FILTER (nth = 1) AS unique_key_count, min(off) FILTER (nth > 1) AS repeated_at,
+    min(off) FILTER (reason IS NOT NULL) AS broken_at,
+    arg_min(reason, off) FILTER (reason IS NOT NULL) AS broken
+  FROM keyed GROUP BY snapshot),
+reasons AS (
+  SELECT snapshot, record_count, unique_key_count,
+    CASE {first} WHEN repeated_at < coalesce(broken_at, repeated_at + 1) THEN 'duplicate_unique_key'
+      ELSE broken END AS reason
+  FROM judged)"""
+    )
+
+
+def _verdicts(judged: str, contract: str) -> str:
+    return _with(
+        judged,
+        f"SELECT snapshot, '{contract}' AS contract, record_count, unique_key_count, reason, "
+        "CASE WHEN reason IS NULL THEN 'PASSED' ELSE 'QUARANTINED' END AS verdict FROM reasons",
+    )
+
+
+def _messages(judged: str, source: str, columns: str, rows: str, contract: str) -> str:
+    """Messages of the records whose snapshot has no reason."""
+    dataset, event_type = EVENT_KINDS[source]
+    return _with(
+        judged,
+        f"SELECT 'events.{contract}.v1' AS topic, '{source}' AS source, '{dataset}' AS dataset, "
+        f"'{event_type}' AS event_type, false AS replay, {columns} "
+        f"FROM {rows} JOIN reasons USING (snapshot) WHERE reasons.reason IS NULL",
+    )
+
+
+_METADATA = """WHEN no % 41 = 2 THEN 'missing_required_metadata'
+      WHEN no % 43 = 3 THEN 'record_count_not_integer'
+      WHEN no % 37 = 1 THEN 'record_count_mismatch'"""
+
+JUDGED_WEATHER = _judged(
+        WEATHER,
+        """
+  SELECT 'nation-' || s_nationkey || '-' || strftime(l_shipdate, '%Y%m%d') AS snapshot, off,
+    date_diff('day', DATE '1992-01-01', CAST(l_shipdate AS DATE)) * 25 + s_nationkey AS no,
+    latitude, longitude, period_start, l_quantity, short_forecast,
+    CASE WHEN short_forecast = '' THEN 'empty_short_forecast'
+      WHEN period_end <= period_start THEN 'invalid_forecast_interval' END AS reason
+  FROM wx_typed""",
+        "latitude, longitude, period_start",
+        _METADATA,
+)
+JUDGED_STATIONS = _judged(
+        STATIONS,
+        """
+  SELECT substr(r_name, 1, 2) || '-' || key % 300 AS snapshot, off,
+    key % 300 + 300 * (SELECT r_regionkey FROM region r WHERE r.r_name = t.r_name) AS no, key, state,
+    updated_at, ev_network,
+    CASE WHEN key % 89 = 1 THEN 'invalid_fuel_type_code'
+      WHEN key % 83 = 2 THEN 'invalid_access_code' WHEN key % 79 = 4 THEN 'invalid_status_code'
+      WHEN key % 6 = 0 THEN 'invalid_ev_connector_types'
+      WHEN state <> CASE WHEN (key % 300 + 300 * (SELECT r_regionkey FROM region r
+        WHERE r.r_name = t.r_name)) % 31 = 4 THEN 'O1' ELSE substr(r_name, 1, 2) END
+        THEN 'state_mismatch' END AS reason
+  FROM ev_typed t""",
+        "key",
+        """WHEN no % 41 = 2 OR no % 23 = 5 AND no % 29 <> 3 THEN 'missing_required_metadata'
+      WHEN no % 43 = 3 THEN 'record_count_not_integer'
+      WHEN no % 37 = 1 THEN 'record_count_mismatch'
+      WHEN no % 29 = 3 THEN 'total_results_too_small'
+      WHEN no % 31 = 4 THEN 'invalid_query_state'""",
+)
+
 JOB_ORACLES: dict[str, str] = {
     "control_watermark": _two_windows(),
     "incremental_gold_hourly": ORACLES["gold_hourly"],
@@ -59,6 +148,38 @@ JOB_ORACLES: dict[str, str] = {
   count(*) AS declared_records
 FROM ev WHERE event_id % 3 < 2 GROUP BY event_id % 3""",
     ),
+    "contract_verdicts_weather": _verdicts(JUDGED_WEATHER, "nws_hourly_forecast"),
+    "contract_verdicts_stations": _verdicts(JUDGED_STATIONS, "afdc_ev_stations"),
+    "published_envelopes": _messages(
+        LANDED + ",\nreasons AS (SELECT snapshot, reason FROM verdicts)",
+        "eia",
+        "respondent AS kafka_key, 'pub-' || respondent || '-' || record_type AS event_id, "
+        "respondent AS partition_key, strftime(hour_ts, '%Y-%m-%dT%H:%M:%S') AS source_timestamp, "
+        "value, 'megawatthours' AS value_units",
+        "land",
+        "eia_region_data",
+    ),
+    "published_forecasts": _messages(
+        JUDGED_WEATHER,
+        "nws",
+        "printf('%.4f,%.4f', latitude, longitude) AS kafka_key, "
+        "'pub-' || printf('%.4f,%.4f', latitude, longitude) || '-' "
+        "|| strftime(period_start, '%Y-%m-%dT%H:%M:%S') AS event_id, "
+        "printf('%.4f,%.4f', latitude, longitude) AS partition_key, "
+        "strftime(period_start, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS source_timestamp, "
+        "l_quantity AS temperature, short_forecast",
+        "records",
+        "nws_hourly_forecast",
+    ),
+    "published_stations": _messages(
+        JUDGED_STATIONS,
+        "afdc",
+        "upper(state) AS kafka_key, 'pub-' || key AS event_id, upper(state) AS partition_key, "
+        "strftime(updated_at, '%Y-%m-%dT%H:%M:%S') || '+00:00' AS source_timestamp, "
+        "key AS station_id, ev_network",
+        "records",
+        "afdc_ev_stations",
+    ),
     "topic_ranges": f"""
 WITH ranges AS (
   SELECT CAST(event_id % 3 AS INTEGER) AS "partition", min(event_id) AS start_offset,

@@ -6,7 +6,9 @@ from pyspark.sql import functions as F
 
 from pyspark.errors import StreamingQueryException
 
-from amperline.operators import contracts, coverage
+from amperline.functions.clock import instant
+from amperline.operators import contracts, coverage, gold, publish
+from amperline.operators.envelope import parse_envelopes, valid_envelopes
 from amperline.plans import bridges as b
 from amperline.plans import increments
 from amperline.plans.catalog import STATION_OUTPUT, _watermarks, query, rounded
@@ -148,3 +150,80 @@ def outcome_stream(spark, sf):
         # a month of messages is replayed at once, so a minute may be that late
         start_totals(log, f"{folder}/totals", f"{folder}/summed", "60 days").awaitTermination()
     return rounded(read_totals(spark, f"{folder}/totals"), "messages_per_second")
+
+
+@query
+def contract_verdicts_weather(spark, sf):
+    """Verdicts on daily forecast snapshots; keys of places are compared by value."""
+    snapshots, records = b.weather_snapshots(spark, sf)
+    return contracts.validate_snapshots(snapshots, records, contracts.WEATHER_CONTRACT)
+
+
+@query
+def contract_verdicts_stations(spark, sf):
+    """Verdicts on station snapshots, their totals and their state."""
+    snapshots, records = b.station_snapshots(spark, sf)
+    return contracts.validate_snapshots(snapshots, records, contracts.STATION_CONTRACT)
+
+
+def _published(snapshots, records, contract, event_id, *extracts):
+    """Records of accepted snapshots normalised, enveloped, serialised and parsed back from the bus."""
+    accepted, _ = contracts.gate(snapshots, records, contract)
+    normal = NORMALISED[contract.source](accepted)
+    ready = publish.envelopes(normal, contract.source, b.NOW, event_id=event_id)
+    dataset_topic = f"{b.NAMESPACE}.{contract.name}.v1"
+    messages = publish.bus_messages(ready, dataset_topic).select(
+        "*",
+        F.lit(0).alias("partition"),
+        F.lit(0).cast("long").alias("offset"),
+        instant(b.NOW).alias("timestamp"),
+    )
+    return valid_envelopes(parse_envelopes(messages)).select(
+        "topic",
+        "kafka_key",
+        "event_id",
+        "source",
+        "dataset",
+        "event_type",
+        "partition_key",
+        "replay",
+        "source_timestamp",
+        *[
+            F.get_json_object("payload_json", f"$.{name}").cast(kind).alias(name)
+            for name, kind in extracts
+        ],
+    )
+
+
+NORMALISED = {
+    "eia": contracts.normalised_electricity,
+    "nws": contracts.normalised_weather,
+    "afdc": contracts.normalised_stations,
+}
+
+
+@query
+def published_envelopes(spark, sf):
+    """Electricity records of the snapshots that pass their contract, as messages."""
+    snapshots, records = b.landed_snapshots(spark, sf)
+    event_id = F.concat_ws("-", F.lit("pub"), "respondent", "record_type")
+    extracts = (("value", "double"), ("value_units", "string"))
+    return _published(snapshots, records, contracts.ELECTRICITY_CONTRACT, event_id, *extracts)
+
+
+@query
+def published_forecasts(spark, sf):
+    """Forecast records of the snapshots that pass their contract, as messages keyed by place."""
+    snapshots, records = b.weather_snapshots(spark, sf)
+    event_id = F.concat_ws("-", F.lit("pub"), gold.location_key(), publish.iso(F.col("period_start")))
+    extracts = (("temperature", "double"), ("short_forecast", "string"))
+    return _published(snapshots, records, contracts.WEATHER_CONTRACT, event_id, *extracts)
+
+
+@query
+def published_stations(spark, sf):
+    """Station records of the snapshots that pass their contract, as messages keyed by state."""
+    snapshots, records = b.station_snapshots(spark, sf)
+    event_id = F.concat_ws("-", F.lit("pub"), "station_id")
+    extracts = (("station_id", "long"), ("ev_network", "string"))
+    return _published(snapshots, records, contracts.STATION_CONTRACT, event_id, *extracts)

@@ -979,16 +979,6 @@ totals AS (
         "strftime(period, '%Y-%m-%dT%H:%M:%S') AS source_timestamp, period, respondent, "
         "record_type, delay_seconds, reading AS value FROM silver JOIN delays USING (period)",
     ),
-    "published_envelopes": _with(
-        LANDED,
-        f"SELECT '{TOPIC}' AS topic, respondent AS kafka_key, "
-        "'pub-' || respondent || '-' || record_type AS event_id, 'eia' AS source, "
-        "'eia_region_data' AS dataset, 'eia.region_data.observed' AS event_type, "
-        "respondent AS partition_key, false AS replay, "
-        "strftime(hour_ts, '%Y-%m-%dT%H:%M:%S') AS source_timestamp, value, "
-        "CASE WHEN event_id % 223 <> 5 THEN 'megawatthours' END AS value_units "
-        "FROM land WHERE event_id % 227 <> 7",
-    ),
     "flatten_electricity": _with(
         EVENTS
         + """,
