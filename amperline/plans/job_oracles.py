@@ -135,6 +135,7 @@ JUDGED_STATIONS = _judged(
 
 JOB_ORACLES: dict[str, str] = {
     "control_watermark": _two_windows(),
+    "compacted_bronze": ORACLES["bronze_stream"],
     "incremental_gold_hourly": ORACLES["gold_hourly"],
     "incremental_stations": ORACLES["dedup_stations"],
     "landed_round_trip": _with(

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from datetime import date
+
 from pyspark.sql import functions as F
 
 from pyspark.errors import StreamingQueryException
@@ -11,7 +13,8 @@ from amperline.operators import contracts, coverage, gold, publish
 from amperline.operators.envelope import parse_envelopes, valid_envelopes
 from amperline.plans import bridges as b
 from amperline.plans import increments
-from amperline.plans.catalog import STATION_OUTPUT, _watermarks, query, rounded
+from amperline.plans.catalog import ENVELOPE_OUTPUT, STATION_OUTPUT, _watermarks, query, rounded
+from amperline.plans.compaction import compact_bronze
 from amperline.session import durable, scratch_folder
 from amperline.sources import bus, landed
 from amperline.sources.control import ControlTable
@@ -227,3 +230,18 @@ def published_stations(spark, sf):
     event_id = F.concat_ws("-", F.lit("pub"), "station_id")
     extracts = (("station_id", "long"), ("ev_network", "string"))
     return _published(snapshots, records, contracts.STATION_CONTRACT, event_id, *extracts)
+
+
+@query
+def compacted_bronze(spark, sf):
+    """Bronze of a topic drained in six batches, after the merge of all but the last days."""
+    folder = scratch_folder(spark)
+    b.raw_topic(spark, sf).repartition(6, "offset").write.parquet(f"{folder}/topic")
+    start_bronze(
+        bus.folder_stream(spark, f"{folder}/topic", files_per_batch=1),
+        f"{folder}/tables",
+        f"{folder}/progress",
+        namespace=b.NAMESPACE,
+    ).awaitTermination()
+    compact_bronze(spark, f"{folder}/tables", date(2024, 1, 26))
+    return read_layer(spark, f"{folder}/tables", "bronze_events").select(*ENVELOPE_OUTPUT, "kafka_date")

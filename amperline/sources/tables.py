@@ -9,6 +9,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from amperline.sources import schemas
+from amperline.sources.control import ControlTable
 
 
 @dataclass(frozen=True)
@@ -62,12 +63,36 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+MERGED = "merged-"
+
+
+def merged_batches(spark: SparkSession, root: str) -> ControlTable:
+    """Which Bronze folders stand for which batches: the manifest of ``compact_bronze``."""
+    schema = "source STRING, kafka_date DATE, batch_id STRING, merged_into STRING"
+    return ControlTable(spark, table_path(root, "merged_batches"), schema)
+
+
 def read_layer(spark: SparkSession, root: str, name: str) -> DataFrame | None:
-    """A layer table with its declared schema, or None when it was never written."""
+    """A layer table with its declared schema, or None when it was never written.
+
+    Of Bronze the folders that a merge has replaced are left out, and merged folders
+    whose merge was never committed.
+    """
     path = table_path(root, name)
     if not exists(spark, path):
         return None
-    return spark.read.schema(LAYERS[name].schema).parquet(path)
+    table = spark.read.schema(LAYERS[name].schema).parquet(path)
+    if name == "bronze_events":
+        version, merged = merged_batches(spark, root).read()
+        whole = ~F.col("batch_id").startswith(MERGED)
+        if version:
+            folder = list(LAYERS[name].partitions)
+            committed = [row[0] for row in merged.select("merged_into").distinct().collect()]
+            table = table.where(whole | F.col("batch_id").isin(*committed))
+            table = table.join(merged.select(*folder), folder, "left_anti").select(*table.columns)
+        else:
+            table = table.where(whole)
+    return table
 
 
 def write_layer(frame: DataFrame, root: str, name: str, *, only_touched: bool = False) -> None:

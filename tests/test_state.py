@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from amperline.operators.coverage import advance_control
 from amperline.operators.envelope import parse_envelopes
 from amperline.plans import increments, medallion
+from amperline.plans.compaction import compact_bronze
 from amperline.sources import bus, commits, landed
 from amperline.sources.control import ControlTable, OutdatedVersion
 from amperline.sources.schemas import BRONZE, RECORD
@@ -173,6 +174,37 @@ def test_increment_that_broke_off_is_repeated(spark, tmp_path, monkeypatch):
     assert content(spark, root) == content(spark, whole)
 
 
+def test_merge_of_closed_dates(spark, tmp_path):
+    root = str(tmp_path)
+    old = [row | {"kafka_date": hour(6).date().replace(day=d)} for row, d in ((reading(i, 10, 1.0), i) for i in (1, 2))]
+    for number in range(3):
+        batch(spark, root, f"s-{number}", [r | {"offset": r["offset"] + 100 * number} for r in old])
+    increments.rebuild(spark, root)
+    batch(spark, root, "s-3", [r | {"offset": r["offset"] + 900, "event_id": "late"} for r in old])
+
+    def folders():
+        return sorted("/".join(p.parts[-2:]) for p in tmp_path.glob("bronze_events/*/*/batch_id=*"))
+
+    def offsets():
+        return sorted(r.offset for r in read_layer(spark, root, "bronze_events").collect())
+
+    before = offsets()
+    assert len(folders()) == 8
+    # s-3 is not in Silver yet, and the second day is still open
+    assert compact_bronze(spark, root, hour(6).date().replace(day=2)) == 3
+    assert offsets() == before and len(folders()) == 6
+    assert sum("batch_id=merged-" in f for f in folders()) == 1
+    assert set(increments.increment(spark, root)) >= {"silver_electricity"}
+    assert increments.increment(spark, root) == {}
+    assert compact_bronze(spark, root, hour(6).date()) == 6
+    assert offsets() == before and len(folders()) == 2
+    assert compact_bronze(spark, root, hour(6).date()) == 0 and increments.increment(spark, root) == {}
+    # a merged batch is delivered once more, a merge broke off before its commit: neither is seen
+    batch(spark, root, "s-1", old)
+    batch(spark, root, "merged-lost", old)
+    assert offsets() == before
+
+
 # Landed runs, offset ranges -----------------------------------------------------------------
 
 
