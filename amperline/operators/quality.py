@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 from collections.abc import Iterable
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -116,28 +117,50 @@ def quality_snapshot(counts: DataFrame) -> DataFrame:
     )
 
 
-def not_null_test(column: str) -> tuple[str, Column]:
-    return f"not_null:{column}", F.col(column).isNull()
+@dataclass(frozen=True)
+class ModelTests:
+    """The declared tests of one model: columns without NULL, unique keys, accepted values."""
 
+    model: str
+    not_null: tuple[str, ...] = ()
+    unique: str | None = None
+    accepted: tuple[tuple[str, tuple[str, ...]], ...] = ()
 
-def accepted_values_test(column: str, values: Iterable[str]) -> tuple[str, Column]:
-    return f"accepted_values:{column}", ~F.col(column).isin(*values)
+    def row_tests(self) -> list[tuple[str, Column]]:
+        """Tests that one row decides, by name."""
+        return [
+            *[(f"not_null:{name}", F.col(name).isNull()) for name in self.not_null],
+            *[(f"accepted_values:{name}", ~F.col(name).isin(*values)) for name, values in self.accepted],
+        ]
 
 
-def column_tests(model: str, frame: DataFrame, tests: list[tuple[str, Column]]) -> DataFrame:
-    """Violations of many row tests in one pass over the model."""
-    counted = frame.agg(*[F.count_if(broken).alias(name) for name, broken in tests])
-    return counted.unpivot([], [name for name, _ in tests], "test", "failures").select(
-        F.lit(model).alias("model"), "test", "failures"
-    )
-
+def generic_tests(frame: DataFrame, *declared: ModelTests) -> DataFrame:
+    """Violations of all tests of models that share a frame, from one pass over it.
 
-def unique_test(model: str, frame: DataFrame, column: str) -> DataFrame:
-    """Number of key values that occur more than once; NULL keys are ignored."""
-    repeated = frame.where(F.col(column).isNotNull()).groupBy(column).count().where("count > 1")
-    return repeated.agg(F.count("*").alias("failures")).select(
-        F.lit(model).alias("model"), F.lit(f"unique:{column}").alias("test"), "failures"
+    Row tests are summed per value of the unique key on the way, so that a key that
+    occurs more than once is counted by the same shuffle. NULL keys break no uniqueness.
+    """
+    tests = [(t.model, name, broken) for t in declared for name, broken in t.row_tests()]
+    keys = [(t.model, t.unique) for t in declared if t.unique]
+    if len(keys) > 1:
+        raise ValueError("one unique key at a time")
+    counts = [F.count_if(broken).alias(f"t{at}") for at, (_, _, broken) in enumerate(tests)]
+    totals = [F.coalesce(F.sum(f"t{at}"), F.lit(0)).alias(f"t{at}") for at in range(len(tests))]
+    if keys:
+        key = F.col(keys[0][1])
+        frame = frame.groupBy(key.alias("key")).agg(F.count("*").alias("n"), *counts)
+        repeated = F.col("key").isNotNull() & (F.col("n") > 1)
+        counted = frame.agg(*totals, F.count_if(repeated).alias(f"t{len(tests)}"))
+    else:
+        counted = frame.agg(*counts)
+    named = [(m, name) for m, name, _ in tests] + [(m, f"unique:{column}") for m, column in keys]
+    results = F.array(
+        *[
+            F.struct(F.lit(model).alias("model"), F.lit(test).alias("test"), F.col(f"t{at}").alias("failures"))
+            for at, (model, test) in enumerate(named)
+        ]
     )
+    return counted.select(F.inline(results))
 
 
 def singular_tests(

@@ -557,85 +557,68 @@ def platform_status(spark, sf):
     )
 
 
+# The declared tests of the models, staging views and the seed.
+RISKS = ("low", "moderate", "high", "unknown")
+GRID_TESTS = (
+    quality.ModelTests(
+        "mart_grid_hourly",
+        ("grid_hour_key", "period", "respondent", "entity_type", "contains_replay"),
+        "grid_hour_key",
+        (("entity_type", ("balancing_authority", "region", "national")),),
+    ),
+    quality.ModelTests(
+        "stg_eia_balancing_authority_hourly",
+        ("period", "respondent", "hour_of_day", "metric_count", "contains_replay"),
+    ),
+)
+PERFORMANCE_TESTS = quality.ModelTests(
+    "mart_balancing_authority_performance",
+    ("respondent", "observed_hours", "contains_replay"),
+    "respondent",
+)
+CITY_TESTS = (
+    quality.ModelTests(
+        "mart_ev_city_rankings", ("city_state_key", "city", "state", "station_count"), "city_state_key"
+    ),
+    quality.ModelTests("stg_afdc_city_infrastructure", ("city", "state", "country", "station_count")),
+)
+WEATHER_TESTS = (
+    quality.ModelTests(
+        "mart_weather_forecast",
+        ("weather_forecast_key", "location_key", "period_start"),
+        "weather_forecast_key",
+        (("precipitation_risk", RISKS),),
+    ),
+    quality.ModelTests(
+        "stg_nws_hourly_weather",
+        ("location_key", "period_start", "forecast_date"),
+        accepted=(("temperature_unit", ("F", "C")), ("precipitation_risk", RISKS)),
+    ),
+)
+SEED_TESTS = quality.ModelTests(
+    "eia_respondent_types",
+    ("respondent", "entity_type", "entity_name"),
+    "respondent",
+    (("entity_type", ("region", "national")),),
+)
+
+
 @query
 def dq_generic_tests(spark, sf):
-    grid, cities = b.grid_mart(spark, sf), b.city_gold(spark, sf)
-    keyed = cities.withColumn(
+    """The 40 declared tests, one pass over each of the frames that the models come from."""
+    grid = durable(b.grid_mart(spark, sf))
+    cities = b.city_gold(spark, sf).withColumn(
         "city_state_key", marts.joined_key(F.col("city"), F.col("state"), F.col("country"))
     )
     weather = b.weather_gold(spark, sf).withColumn(
         "weather_forecast_key", marts.joined_key(F.col("location_key"), F.col("period_start"))
     )
-    performance = marts.authority_totals(grid)
-    types = marts.respondent_types(spark)
-    not_null, accepted = quality.not_null_test, quality.accepted_values_test
-    bands = ("low", "moderate", "high", "unknown")
     parts = [
-        quality.column_tests(
-            "mart_grid_hourly",
-            grid,
-            [
-                *[
-                    not_null(name)
-                    for name in (
-                        "grid_hour_key",
-                        "period",
-                        "respondent",
-                        "entity_type",
-                        "contains_replay",
-                        "hour_of_day",
-                        "metric_count",
-                        "demand_mwh",
-                    )
-                ],
-                accepted("entity_type", marts.ENTITY_TYPES),
-            ],
-        ),
-        quality.unique_test("mart_grid_hourly", grid, "grid_hour_key"),
-        quality.unique_test("mart_grid_hourly", grid, "respondent"),
-        quality.column_tests(
-            "mart_balancing_authority_performance",
-            performance,
-            [not_null(name) for name in ("respondent", "observed_hours", "contains_replay")],
-        ),
-        quality.unique_test("mart_balancing_authority_performance", performance, "respondent"),
-        quality.column_tests(
-            "mart_ev_city_rankings",
-            keyed,
-            [
-                not_null(name)
-                for name in ("city_state_key", "city", "state", "country", "station_count")
-            ],
-        ),
-        quality.unique_test("mart_ev_city_rankings", keyed, "city_state_key"),
-        quality.column_tests(
-            "mart_weather_forecast",
-            weather,
-            [
-                *[
-                    not_null(name)
-                    for name in (
-                        "weather_forecast_key",
-                        "location_key",
-                        "period_start",
-                        "forecast_date",
-                        "precipitation_probability",
-                    )
-                ],
-                accepted("temperature_unit", ("F", "C")),
-                accepted("precipitation_risk", bands),
-            ],
-        ),
-        quality.unique_test("mart_weather_forecast", weather, "weather_forecast_key"),
-        quality.column_tests(
-            "respondent_types",
-            types,
-            [
-                *[not_null(name) for name in ("respondent", "entity_type", "entity_name")],
-                accepted("entity_type", ("region", "national")),
-            ],
-        ),
-        quality.unique_test("respondent_types", types, "respondent"),
+        quality.generic_tests(grid, *GRID_TESTS),
+        quality.generic_tests(marts.authority_totals(grid), PERFORMANCE_TESTS),
+        quality.generic_tests(cities, *CITY_TESTS),
+        quality.generic_tests(weather, *WEATHER_TESTS),
+        quality.generic_tests(marts.respondent_types(spark), SEED_TESTS),
     ]
     return reduce(DataFrame.unionByName, parts)
 

@@ -5,9 +5,11 @@ from __future__ import annotations
 from amperline.plans.oracles import (
     ENVELOPES,
     EVENTS,
+    GOLD,
     LANDED,
     METRICS,
     ORACLES,
+    PERFORMANCE,
     STATIONS,
     TOPIC,
     WEATHER,
@@ -181,6 +183,38 @@ FROM ev WHERE event_id % 3 < 2 GROUP BY event_id % 3""",
         "records",
         "afdc_ev_stations",
     ),
+    "quarantine_stream": _with(
+        ENVELOPES,
+        "SELECT topic, part AS \"partition\", event_id AS \"offset\", CAST(ts AS TIMESTAMP) AS kafka_timestamp, "
+        "respondent AS kafka_key, validation_error, garbage FROM env WHERE validation_error IS NOT NULL",
+    ),
+    "stream_progress": "SELECT CAST(1 AS INTEGER) AS run, count(*) AS rows_processed FROM events "
+    "UNION ALL SELECT 2, 0",
+    "rewritten_layer": ORACLES["dedup_metrics"],
+    "staged_views": _with(
+        GOLD,
+        "SELECT period_date, hour_of_day, count(*) AS rows, CAST(sum(metric_count) AS BIGINT) AS metrics, "
+        "count(*) FILTER (contains_replay) AS replayed FROM gold GROUP BY ALL",
+    ),
+    "seeded_grid": _with(
+        GOLD,
+        "SELECT respondent, CASE WHEN respondent = 'R0' THEN 'national' WHEN respondent IN ('R1', 'R2') "
+        "THEN 'region' ELSE 'balancing_authority' END AS entity_type, count(*) AS hours, "
+        "count(demand_mwh) AS demand_hours FROM gold GROUP BY ALL",
+    ),
+    "exported_marts": _with(
+        PERFORMANCE + "," + WEATHER + "," + STATIONS,
+        "SELECT 'mart_grid_hourly' AS relation, count(*) AS rows FROM grid "
+        "UNION ALL SELECT 'mart_balancing_authority_performance', count(*) FROM perf "
+        "UNION ALL SELECT 'mart_ev_city_rankings', count(*) FROM city_mart "
+        "UNION ALL SELECT 'mart_weather_forecast', count(*) FROM wx_gold",
+    ),
+    "landed_documents": _with(
+        LANDED,
+        "SELECT CAST(slot AS VARCHAR) AS slot, "
+        "CAST(row_number() OVER (PARTITION BY slot ORDER BY event_id) - 1 AS INTEGER) "
+        "AS position, respondent, record_type FROM land",
+    ),
     "topic_ranges": f"""
 WITH ranges AS (
   SELECT CAST(event_id % 3 AS INTEGER) AS "partition", min(event_id) AS start_offset,

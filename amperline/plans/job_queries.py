@@ -9,17 +9,24 @@ from pyspark.sql import functions as F
 from pyspark.errors import StreamingQueryException
 
 from amperline.functions.clock import instant
-from amperline.operators import contracts, coverage, gold, publish
+from amperline.operators import contracts, coverage, gold, marts, publish
 from amperline.operators.envelope import parse_envelopes, valid_envelopes
 from amperline.plans import bridges as b
 from amperline.plans import increments
-from amperline.plans.catalog import ENVELOPE_OUTPUT, STATION_OUTPUT, _watermarks, query, rounded
+from amperline.plans.catalog import (
+    ENVELOPE_OUTPUT,
+    METRIC_OUTPUT,
+    STATION_OUTPUT,
+    _watermarks,
+    query,
+    rounded,
+)
 from amperline.plans.compaction import compact_bronze
 from amperline.session import durable, scratch_folder
 from amperline.sources import bus, landed
 from amperline.sources.control import ControlTable
-from amperline.sources.tables import read_layer, write_layer
-from amperline.streaming.bronze import start_bronze
+from amperline.sources.tables import export_tables, layer_columns, read_layer, write_layer
+from amperline.streaming.bronze import rows_processed, start_bronze
 from amperline.streaming.outcomes import HandlerFailed, OutcomeLog, read_totals, start_totals
 
 
@@ -245,3 +252,117 @@ def compacted_bronze(spark, sf):
     ).awaitTermination()
     compact_bronze(spark, f"{folder}/tables", date(2024, 1, 26))
     return read_layer(spark, f"{folder}/tables", "bronze_events").select(*ENVELOPE_OUTPUT, "kafka_date")
+
+
+def _drained(spark, sf, batches=1):
+    """Folder of a lake whose Bronze tables were written by draining the raw topic, and the rows of two drains."""
+    folder = scratch_folder(spark)
+    b.raw_topic(spark, sf).repartition(batches, "offset").write.parquet(f"{folder}/topic")
+    processed = []
+    for _ in range(2):
+        stream = start_bronze(
+            bus.folder_stream(spark, f"{folder}/topic", files_per_batch=1),
+            f"{folder}/tables",
+            f"{folder}/progress",
+            namespace=b.NAMESPACE,
+        )
+        stream.awaitTermination()
+        processed.append(rows_processed(stream))
+    return folder, processed
+
+
+@query
+def quarantine_stream(spark, sf):
+    """Messages that a drained stream put into quarantine, as they came."""
+    folder, _ = _drained(spark, sf)
+    rejected = read_layer(spark, f"{folder}/tables", "bronze_quarantine")
+    return rejected.select(
+        "topic", "partition", "offset", "kafka_timestamp", "kafka_key", "validation_error",
+        (F.col("event_json") == "{invalid-json").alias("garbage"),
+    )
+
+
+@query
+def stream_progress(spark, sf):
+    """Rows that a stream reports for a drain and for a second one without new messages."""
+    _, processed = _drained(spark, sf, batches=2)
+    rows = [(run, count) for run, count in enumerate(processed, 1)]
+    return spark.createDataFrame(rows, "run INT, rows_processed BIGINT")
+
+
+@query
+def rewritten_layer(spark, sf):
+    """Silver written as a whole and then, for every third day, once more over itself."""
+    root = f"{scratch_folder(spark)}/lake"
+    silver = durable(b.electricity_silver(spark, sf).select(*layer_columns("silver_electricity")))
+    write_layer(silver, root, "silver_electricity")
+    again = silver.where(F.dayofmonth("period_date") % 3 == 0)
+    write_layer(again, root, "silver_electricity", only_touched=True)
+    return read_layer(spark, root, "silver_electricity").select(*METRIC_OUTPUT, "offset")
+
+
+@query
+def staged_views(spark, sf):
+    """Gold found by a recursive glob, staged as a view and asked in SQL."""
+    root = f"{scratch_folder(spark)}/lake"
+    write_layer(b.hourly_gold(spark, sf), root, "gold_hourly")
+    files = spark.read.option("basePath", f"{root}/gold_hourly").parquet(f"{root}/gold_hourly/*/")
+    marts.staged_grid(files).createOrReplaceTempView("stg_hourly")
+    return spark.sql(
+        "SELECT period_date, hour_of_day, count(*) AS rows, sum(metric_count) AS metrics, "
+        "count_if(contains_replay) AS replayed FROM stg_hourly GROUP BY period_date, hour_of_day"
+    )
+
+
+@query
+def seeded_grid(spark, sf):
+    """Hourly mart with respondent types from a seed file: one national respondent, two regions."""
+    seed = f"{scratch_folder(spark)}/seed"
+    codes = b.metric_events(spark, sf).select("respondent").distinct()
+    kind = F.when(F.col("respondent") == "R0", "national").when(
+        F.col("respondent").isin("R1", "R2"), "region"
+    )
+    codes.withColumns({"entity_type": kind, "entity_name": F.concat(F.lit("Area, "), "respondent")}).where(
+        "entity_type IS NOT NULL"
+    ).write.csv(seed, header=True)
+    grid = marts.grid_hourly(b.hourly_gold(spark, sf), marts.respondent_types(spark, seed))
+    return grid.groupBy("respondent", "entity_type").agg(
+        F.count("*").alias("hours"), F.count("demand_mwh").alias("demand_hours")
+    )
+
+
+@query
+def exported_marts(spark, sf):
+    """Rows of the marts exported to one folder."""
+    grid = durable(b.grid_mart(spark, sf))
+    tables = {
+        "mart_grid_hourly": grid,
+        "mart_balancing_authority_performance": marts.authority_totals(grid),
+        "mart_ev_city_rankings": b.city_gold(spark, sf),
+        "mart_weather_forecast": b.weather_gold(spark, sf),
+    }
+    return export_tables(tables, f"{scratch_folder(spark)}/export")
+
+
+@query
+def landed_documents(spark, sf):
+    """Whole snapshot documents, one file each, scanned and taken apart again."""
+    folder = f"{scratch_folder(spark)}/documents"
+    _, records = b.landed_snapshots(spark, sf)
+    slot = F.split_part("snapshot", F.lit("-"), F.lit(2))
+    whole = records.groupBy(slot.alias("slot")).agg(
+        F.sort_array(F.collect_list(F.struct("position", "record"))).getField("record").alias("records")
+    )
+    body = F.concat(
+        F.lit('{"metadata":{"run_id":"'), "slot", F.lit('"},"records":['), F.array_join("records", ","), F.lit("]}")
+    )
+    named = whole.select("slot", body.alias("value"))
+    named.repartition("slot").write.partitionBy("slot").text(folder)
+    scanned = landed.read_snapshots(spark, folder)
+    rows = landed.snapshot_records(scanned)
+    return rows.select(
+        F.regexp_extract("snapshot", r"slot=([^/]+)/", 1).alias("slot"),
+        "position",
+        F.get_json_object("record", "$.respondent").alias("respondent"),
+        F.get_json_object("record", "$.type").alias("record_type"),
+    )

@@ -1055,72 +1055,91 @@ ORACLES["component_health"] = _with(
 )
 
 
+# The codes of aggregates and what they stand for.
+TYPES = """
+types(respondent, entity_type, entity_name) AS (VALUES
+  ('US48', 'national', 'United States Lower 48'), ('CAL', 'region', 'California'),
+  ('CAR', 'region', 'Carolinas'), ('CENT', 'region', 'Central'), ('FLA', 'region', 'Florida'),
+  ('MIDA', 'region', 'Mid-Atlantic'), ('MIDW', 'region', 'Midwest'),
+  ('NE', 'region', 'New England'), ('NW', 'region', 'Northwest'), ('NY', 'region', 'New York'),
+  ('SE', 'region', 'Southeast'), ('SW', 'region', 'Southwest'), ('TEN', 'region', 'Tennessee'),
+  ('TEX', 'region', 'Texas'))"""
+
+
 def _generic_tests() -> str:
-    """Violation counts of the column tests, one row per test."""
-    grid_nulls = (
-        "grid_hour_key period respondent entity_type contains_replay hour_of_day metric_count "
-        "demand_mwh"
-    )
+    """Violation counts of the declared tests, one row per test."""
+    risks = "'low', 'moderate', 'high', 'unknown'"
     plan = [
-        ("mart_grid_hourly", "grid", grid_nulls, {"entity_type": 0}),
+        (
+            "mart_grid_hourly",
+            "grid",
+            "grid_hour_key period respondent entity_type contains_replay",
+            "grid_hour_key",
+            {"entity_type": "'balancing_authority', 'region', 'national'"},
+        ),
+        (
+            "stg_eia_balancing_authority_hourly",
+            "grid",
+            "period respondent hour_of_day metric_count contains_replay",
+            None,
+            {},
+        ),
         (
             "mart_balancing_authority_performance",
             "perf",
             "respondent observed_hours contains_replay",
+            "respondent",
             {},
         ),
-        ("mart_ev_city_rankings", "city_mart", "city_state_key city state country station_count", {}),
+        ("mart_ev_city_rankings", "city_mart", "city_state_key city state station_count", "city_state_key", {}),
+        ("stg_afdc_city_infrastructure", "city_mart", "city state country station_count", None, {}),
         (
             "mart_weather_forecast",
             "wx_full",
-            "weather_forecast_key location_key period_start forecast_date "
-            "precipitation_probability",
-            {"temperature_unit": 0, "precipitation_risk": 0},
+            "weather_forecast_key location_key period_start",
+            "weather_forecast_key",
+            {"precipitation_risk": risks},
+        ),
+        (
+            "stg_nws_hourly_weather",
+            "wx_full",
+            "location_key period_start forecast_date",
+            None,
+            {"temperature_unit": "'F', 'C'", "precipitation_risk": risks},
+        ),
+        (
+            "eia_respondent_types",
+            "types",
+            "respondent entity_type entity_name",
+            "respondent",
+            {"entity_type": "'region', 'national'"},
         ),
     ]
     rows = []
-    for model, relation, nulls, accepted in plan:
-        rows += [
-            f"SELECT '{model}' AS model, 'not_null:{c}' AS test, "
-            f"count(*) FILTER ({c} IS NULL) AS failures FROM {relation}"
-            for c in nulls.split()
-        ]
+    for model, relation, nulls, key, accepted in plan:
+        tests = {f"not_null:{c}": f"{c} IS NULL" for c in nulls.split()}
+        tests |= {f"accepted_values:{c}": f"{c} NOT IN ({v})" for c, v in accepted.items()}
         rows += [
-            f"SELECT '{model}', 'accepted_values:{c}', CAST({n} AS BIGINT)"
-            for c, n in accepted.items()
+            f"SELECT '{model}' AS model, '{test}' AS test, "
+            f"count(*) FILTER ({broken}) AS failures FROM {relation}"
+            for test, broken in tests.items()
         ]
-    for model, relation, key in (
-        ("mart_grid_hourly", "grid", "grid_hour_key"),
-        ("mart_grid_hourly", "grid", "respondent"),
-        ("mart_balancing_authority_performance", "perf", "respondent"),
-        ("mart_ev_city_rankings", "city_mart", "city_state_key"),
-        ("mart_weather_forecast", "wx_full", "weather_forecast_key"),
-    ):
-        rows.append(
-            f"SELECT '{model}', 'unique:{key}', count(*) FROM "
-            f"(SELECT {key} FROM {relation} GROUP BY {key} HAVING count(*) > 1)"
-        )
-    # the dimension is built in and has one full row for each of its codes
-    rows += [
-        f"SELECT 'respondent_types', '{test}', CAST(0 AS BIGINT)"
-        for test in (
-            "unique:respondent",
-            "not_null:respondent",
-            "not_null:entity_type",
-            "not_null:entity_name",
-            "accepted_values:entity_type",
-        )
-    ]
+        if key:
+            rows.append(
+                f"SELECT '{model}', 'unique:{key}', count(*) FROM (SELECT {key} FROM {relation} "
+                f"WHERE {key} IS NOT NULL GROUP BY {key} HAVING count(*) > 1)"
+            )
     keyed = """,
 wx_full AS (
   SELECT *, location_key || '|' || CAST(period_start AS VARCHAR) AS weather_forecast_key
   FROM wx_gold)"""
-    return _with(PERFORMANCE + "," + WEATHER + "," + STATIONS + keyed, " UNION ALL ".join(rows))
+    parts = PERFORMANCE + "," + WEATHER + "," + STATIONS + keyed + "," + TYPES
+    return _with(parts, " UNION ALL ".join(rows))
 
 
 ORACLES["dq_generic_tests"] = _generic_tests()
 ORACLES["dq_singular_tests"] = _with(
-    PERFORMANCE + "," + STATIONS,
+    PERFORMANCE + "," + STATIONS + "," + TYPES,
     "SELECT 'ev_metrics_nonnegative' AS test, count(*) AS failures FROM city_mart "
     "WHERE least(station_count, level1_ports, level2_ports, dc_fast_ports, total_known_ports) < 0 "
     "UNION ALL SELECT 'forecast_coverage_bounds', count(*) FROM ranked_perf "
@@ -1129,5 +1148,5 @@ ORACLES["dq_singular_tests"] = _with(
     "WHERE demand_mwh IS NOT NULL AND demand_forecast_mwh IS NOT NULL AND abs( "
     "demand_forecast_error_mwh - (demand_mwh - demand_forecast_mwh)) > 0.000001 "
     "UNION ALL SELECT 'no_aggregates_in_authorities', count(*) FROM perf "
-    "WHERE respondent IN ('US48', 'CAL', 'TEX', 'NY')",
+    "WHERE respondent IN (SELECT respondent FROM types)",
 )

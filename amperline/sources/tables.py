@@ -7,6 +7,7 @@ from functools import reduce
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 from amperline.sources import schemas
 from amperline.sources.control import ControlTable
@@ -63,6 +64,11 @@ def exists(spark: SparkSession, path: str) -> bool:
     return target.getFileSystem(spark._jsc.hadoopConfiguration()).exists(target)
 
 
+def layer_columns(name: str) -> list[str]:
+    """Columns of a layer in the order of its schema."""
+    return StructType.fromDDL(LAYERS[name].schema).names
+
+
 MERGED = "merged-"
 
 

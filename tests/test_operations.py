@@ -4,7 +4,7 @@ from datetime import datetime, timedelta
 import pytest
 from pyspark.sql import functions as F
 
-from amperline.operators import freshness, incidents, lineage, quality, runs
+from amperline.operators import freshness, incidents, lineage, quality, runs, typed
 from amperline.plans import serving
 from amperline.sources import run_log
 
@@ -310,11 +310,33 @@ def test_missing_layers_stay_unknown(spark):
 
 def test_model_tests_find_violations(spark):
     frame = spark.createDataFrame([("a", "low"), ("a", "odd"), (None, None)], "k string, b string")
-    counted = quality.column_tests(
-        "m", frame, [quality.not_null_test("k"), quality.accepted_values_test("b", ("low", "high"))]
-    )
-    assert {r.test: r.failures for r in counted.collect()} == {
-        "not_null:k": 1,
-        "accepted_values:b": 1,
-    }
-    assert quality.unique_test("m", frame, "k").first().failures == 1
+    first = quality.ModelTests("m", ("k",), "k", (("b", ("low", "high")),))
+    second = quality.ModelTests("n", ("b",))
+
+    def found(*declared):
+        return {(r.model, r.test): r.failures for r in quality.generic_tests(frame, *declared).collect()}
+
+    both = {("m", "not_null:k"): 1, ("m", "accepted_values:b"): 1, ("m", "unique:k"): 1, ("n", "not_null:b"): 1}
+    assert found(first, second) == both
+    assert found(second) == {("n", "not_null:b"): 1}
+    frame = frame.limit(0)
+    assert found(first, second) == dict.fromkeys(both, 0) and found(second) == {("n", "not_null:b"): 0}
+    with pytest.raises(ValueError):
+        found(first, first)
+
+
+@pytest.mark.parametrize("grain", [None, ("city",)])
+def test_counts_of_a_source_equal_its_layers(spark, grain):
+    rows = [
+        (True, 1, "a", 1), (True, 1, "b", 2), (True, 2, "b", 1), (True, 3, "c", 1),
+        (False, 1, "a", 9), (False, None, None, 1), (False, None, None, 2),
+    ]
+    frame = spark.createDataFrame(
+        [(v, k, c, datetime(2026, 1, o), 0, o) for v, k, c, o in rows],
+        "is_valid boolean, station_id long, city string, updated_at timestamp, partition int, offset long",
+    ).withColumns({n: F.col("updated_at") for n in ("event_emitted_at", "kafka_timestamp")})
+    counted = quality.source_counts(frame, typed.STATIONS, grain).first()
+    silver = typed.latest_valid(frame, typed.STATIONS)
+    gold = silver.select(*(grain or ("station_id",))).distinct().count()
+    assert tuple(counted) == (7, silver.count(), gold, 3) == (7, 3, 2 if grain else 3, 3)
+    assert tuple(quality.source_counts(frame.limit(0), typed.STATIONS, grain).first()) == (0, 0, 0, 0)
