@@ -6,9 +6,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from amperline.operators.ranking import (
-    dense_rank_by_range,
+    dense_ranks_by_range,
     row_number_by_bucket,
-    row_number_by_range,
+    row_numbers_by_range,
 )
 from amperline.session import durable
 
@@ -196,39 +196,32 @@ def authority_totals(grid: DataFrame) -> DataFrame:
 
 def authority_performance(grid: DataFrame) -> DataFrame:
     """Authority totals with the two national dense ranks."""
-    totals = durable(authority_totals(grid))
-    ranked = dense_rank_by_range(
-        totals,
-        "forecast_accuracy_rank",
-        "mean_abs_forecast_error_pct",
-        F.col("mean_abs_forecast_error_pct").asc_nulls_last(),
-    )
-    return dense_rank_by_range(
-        durable(ranked),
-        "peak_demand_rank",
-        "peak_demand_mwh",
-        F.col("peak_demand_mwh").desc_nulls_last(),
+    error, peak = "mean_abs_forecast_error_pct", "peak_demand_mwh"
+    return dense_ranks_by_range(
+        durable(authority_totals(grid)),
+        {"forecast_accuracy_rank": (error, F.col(error)), "peak_demand_rank": (peak, -F.col(peak))},
     )
 
 
 def city_rankings(gold: DataFrame) -> DataFrame:
     """City infrastructure with state and national positions."""
-    stations, ports = F.col("station_count").desc(), F.col("total_known_ports").desc()
-    city, state = F.col("city").asc_nulls_last(), F.col("state").asc_nulls_last()
     # Range partitioning samples its input first, so the small table is stored.
     keyed = durable(
         staged_cities(gold).withColumn(
             "city_state_key", joined_key(F.col("city"), F.col("state"), F.col("country"))
         )
     )
-    by_state = row_number_by_range(
-        keyed, "state_station_rank", [stations, ports, city], groups=("state",)
-    )
-    national = row_number_by_range(
-        by_state, "national_station_rank", [stations, ports, state, city]
-    )
-    return row_number_by_range(
-        national, "state_port_rank", [ports, stations, city], groups=("state",)
+    stations, ports = F.col("station_count"), F.col("total_known_ports")
+    state, city, none = F.col("state"), F.col("city"), F.lit(None).cast("string")
+    return row_numbers_by_range(
+        keyed,
+        ["city", "state", "country"],
+        {
+            "state_station_rank": [state, stations, ports, none, city],
+            "national_station_rank": [none, stations, ports, state, city],
+            "state_port_rank": [state, ports, stations, none, city],
+        },
+        ["desc", "desc", "asc_nulls_last", "asc_nulls_last"],
     )
 
 

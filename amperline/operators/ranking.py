@@ -57,6 +57,60 @@ def row_number_by_range(
     )
 
 
+def row_numbers_by_range(
+    stored: DataFrame, identity: list[str], ranks: dict[str, list[Column]], order: list[str]
+) -> DataFrame:
+    """Several ``row_number`` columns from one range layout.
+
+    Each rank lists its group and its sort columns; these have the same types in all
+    ranks, and ``order`` gives their common directions. Every row is laid out once per
+    rank, narrow, with the rank as the first group, so that one sort and one set of
+    prefix counts serve all. ``identity`` names the columns that tell rows of the
+    durable frame apart; they may be NULL.
+    """
+    keys = [f"_key{at}" for at in range(len(order))]
+    laid = [
+        F.struct(
+            F.lit(name).alias("_rank"),
+            group.alias("_group"),
+            *[column.alias(key) for column, key in zip(columns, keys, strict=True)],
+        )
+        for name, (group, *columns) in ranks.items()
+    ]
+    stacked = stored.select(*identity, F.inline(F.array(*laid)))
+    directions = [getattr(F.col(key), way)() for key, way in zip(keys, order, strict=True)]
+    numbered = row_number_by_range(stacked, "_number", directions, groups=("_rank", "_group"))
+    wide = numbered.groupBy(*identity).agg(
+        *[F.max(F.when(F.col("_rank") == name, F.col("_number"))).alias(name) for name in ranks]
+    )
+    return _null_safe_join(stored, wide, identity, "inner")
+
+
+def dense_ranks_by_range(stored: DataFrame, ranks: dict[str, tuple[str, Column]]) -> DataFrame:
+    """Several global ``dense_rank`` columns from one range layout.
+
+    Each rank names a column of the durable frame and a number made of it that grows
+    with the rank; NULL comes last. The distinct values are laid out, numbered and
+    joined back.
+    """
+    laid = F.array(
+        *[
+            F.struct(F.lit(name).alias("_rank"), F.col(value).alias("_value"), place.alias("_place"))
+            for name, (value, place) in ranks.items()
+        ]
+    )
+    values = stored.select(F.inline(laid)).distinct()
+    numbered = durable(
+        row_number_by_range(values, "_number", [F.col("_place").asc_nulls_last()], groups=("_rank",))
+    )
+    for name, (value, _) in ranks.items():
+        own = numbered.where(F.col("_rank") == name).select(
+            F.col("_value").alias(value), F.col("_number").alias(name)
+        )
+        stored = _null_safe_join(stored, own, [value], "inner")
+    return stored
+
+
 def dense_rank_by_range(stored: DataFrame, name: str, value: str, order: Column) -> DataFrame:
     """Global ``dense_rank`` of one column.
 
