@@ -4,7 +4,8 @@ A page is read into blocks of text. Scripts, menus, footers, forms and parts who
 whole name marks them as adverts, notices or comments are left out. All that
 remains, inside an article or main element or not, is compared with the page of
 nearest URL on the same host that has another body: both pages' lines are aligned
-by their longest common subsequence, and shared lines, the template's, are deleted.
+by their longest common subsequence, and shared lines are deleted as the template's
+if most of the pages beside have them too.
 Equal bodies stand as one in the order of URLs, and a page whose lines are nearly
 the same (`COPY`) is passed over, so copies of a story do not delete each other.
 """
@@ -13,6 +14,7 @@ from __future__ import annotations
 
 import re
 from bisect import bisect_left
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -23,11 +25,13 @@ from pyspark.sql import functions as F
 from amperline.llm.common import record_batch, small_batches
 from amperline.session import durable
 
-_MARKUP = re.compile(
-    r"""<!--.*?(?:-->|\Z)|<(script|style|noscript|template|iframe|textarea|svg|title)\b[^>]*>.*?(?:</\1\s*>|\Z)"""
-    r"""|<[!?][^>]*>|<(/?)([a-zA-Z][^\s/>]*)((?:"[^"]*"|'[^']*'|[^'">])*)>""",
-    re.S | re.I,
-)
+_TAG = re.compile(r"<(/?)([a-zA-Z][^\s/>]*)")
+_STOP = re.compile(r"""["'>]""")
+#: Elements whose content is no markup; each runs to its end tag, or to the end of the page.
+_RAW = {
+    name: re.compile(rf"</{name}\s*>", re.I)
+    for name in ("script", "style", "noscript", "template", "iframe", "textarea", "svg", "title")
+}
 _NAMED = re.compile(r"""\b(?:class|id|role)\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+))""", re.I)
 
 # Elements that hold no main text, elements that end a block, elements without an end,
@@ -68,6 +72,49 @@ def _role(tag: str, attributes: str, outer: int) -> int:
     return outer
 
 
+def markup(html: str) -> Iterator[tuple[int, int, bool, str, str]]:
+    """Start, end, whether it closes, name and attributes of all markup, in page order.
+
+    Comments, declarations and elements without markup inside have no name. A "<" that
+    begins no tag, or after which no ">" follows, is text. A tag whose quotes do not
+    close ends at its first ">"; quotes count no more in the rest of such a page. Every
+    character is looked at a fixed number of times, however broken the page is.
+    """
+    last = {mark: html.rfind(mark) for mark in "\"'>"}
+    quotes, at = True, html.find("<")
+    while 0 <= at < last[">"]:
+        if html.startswith("<!--", at):
+            end = html.find("-->", at + 4)
+            end = len(html) if end < 0 else end + 3
+            yield at, end, False, "", ""
+        elif html[at + 1] in "!?":
+            end = html.index(">", at) + 1
+            yield at, end, False, "", ""
+        elif tag := _TAG.match(html, at):
+            end = stop = tag.end()
+            while quotes:
+                stop = _STOP.search(html, stop).start() if stop <= last[">"] else -1
+                if stop < 0 or html[stop] == ">":
+                    break
+                mark = html[stop]
+                stop = html.index(mark, stop + 1) + 1 if stop < last[mark] else -1
+                if stop < 0:
+                    break
+            if not quotes or stop < 0:
+                quotes, stop = False, html.index(">", end)
+            name = tag.group(2).lower()
+            attributes, end = html[end:stop], stop + 1
+            if name in _RAW and not tag.group(1):
+                close = _RAW[name].search(html, end)
+                end, name = close.end() if close else len(html), ""
+            yield at, end, bool(tag.group(1)), name, attributes
+        else:
+            end = at + 1
+        at = html.find("<", end)
+    if at >= 0 and (at := html.find("<!--", at)) >= 0:
+        yield at, len(html), False, "", ""
+
+
 def blocks_of(html: str | None) -> list[tuple[int, str]]:
     """Role and text of every block that is not left out, in page order."""
     out: list[tuple[int, str]] = []
@@ -81,11 +128,11 @@ def blocks_of(html: str | None) -> list[tuple[int, str]]:
             out.append((role, text))
         pieces.clear()
 
-    for match in _MARKUP.finditer(html):
-        if match.start() > start:
-            pieces.append(unescape(html[start : match.start()]))
-        start = match.end()
-        tag = (match.group(3) or "").lower()
+    depth: Counter[str] = Counter()
+    for begin, end, closes, tag, attributes in markup(html):
+        if begin > start:
+            pieces.append(unescape(html[start:begin]))
+        start = end
         if not tag:
             continue
         if tag in BLOCKS:
@@ -95,16 +142,17 @@ def blocks_of(html: str | None) -> list[tuple[int, str]]:
         if tag in VOID:
             continue
         inner = role
-        if not match.group(2):
+        if not closes:
             # an article that begins inside an unclosed menu or advert is none of it
             base = PLAIN if tag in ("article", "main") and not role and open_tags else role
-            inner = _role(tag, match.group(4), base) if role or base else 0
+            inner = _role(tag, attributes, base) if role or base else 0
             open_tags.append((tag, role))
-        else:
-            at = next((i for i in range(len(open_tags) - 1, -1, -1) if open_tags[i][0] == tag), -1)
-            if at >= 0:
-                inner = open_tags[at][1]
-                del open_tags[at:]
+            depth[tag] += 1
+        elif depth[tag]:
+            closed = ""
+            while closed != tag:
+                closed, inner = open_tags.pop()
+                depth[closed] -= 1
         if inner != role:
             end_block()
             role = inner
@@ -143,8 +191,21 @@ def is_copy(mine: list[int], other: list[int]) -> bool:
     return len(ours & theirs) >= COPY * len(ours | theirs)
 
 
+def template_lines(mine: list[int], others: list[list[int]]) -> list[int]:
+    """Positions of the lines that a page shares with the nearest of the others that is no copy.
+
+    A template prints its lines on every page. So a line must also be in two thirds of
+    all the others that are no copies; what a few pages have in common is main text.
+    """
+    different = [other for other in others if not is_copy(mine, other)]
+    if not different:
+        return []
+    holders = Counter(line for other in different for line in set(other))
+    return sorted(at for at in shared_lines(mine, different[0]) if 3 * holders[mine[at]] >= 2 * len(different))
+
+
 def read_pages(pages: DataFrame) -> DataFrame:
-    """Lines of every page with their hashes, a key of all of them, host and path; stored."""
+    """Lines of every page with a key of all of them, host and path."""
     schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("lines", pa.list_(pa.string()))])
 
     def read(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -159,27 +220,25 @@ def read_pages(pages: DataFrame) -> DataFrame:
     )
     found = narrow.mapInArrow(read, "page_id long, url string, lines array<string>")
     address = r"^[a-zA-Z][a-zA-Z0-9+.-]*://([^/?#]*)([^?#]*)"
-    return durable(
-        found.withColumns(
-            {
-                "mine": F.transform("lines", lambda x: F.xxhash64(x)),
-                "body": F.xxhash64(F.array_join("lines", "\n")),
-                "host": F.lower(F.coalesce(F.regexp_extract("url", address, 1), F.lit(""))),
-                "path": F.coalesce(F.regexp_extract("url", address, 2), F.lit("")),
-            }
-        )
+    return found.withColumns(
+        {
+            "body": F.xxhash64(F.array_join("lines", "\n")),
+            "host": F.lower(F.coalesce(F.regexp_extract("url", address, 1), F.lit(""))),
+            "path": F.coalesce(F.regexp_extract("url", address, 2), F.lit("")),
+        }
     )
 
 
-def bodies_beside(stored: DataFrame) -> DataFrame:
-    """For each body of a host, the bodies next to it in the order of URLs, with the distance of the paths.
+def lines_to_delete(read: DataFrame) -> DataFrame:
+    """For each body of a host with lines of the template, the positions of these lines; stored.
 
-    A body stands at its first URL. All are numbered in the order of host and path,
+    Only hashes of lines are exchanged. A body stands at its first URL. All are numbered in the order of host and path,
     sorted by range, so a host of any size is cut over many tasks, and neighbours
     meet by number; therefore the result does not depend on where the cuts are.
     """
     bodies = (
-        stored.filter((F.col("host") != "") & (F.size("lines") > 0))
+        read.filter((F.col("host") != "") & (F.size("lines") > 0))
+        .select("host", "body", "path", F.transform("lines", lambda x: F.hash(x)).alias("mine"))
         .groupBy("host", "body")
         .agg(F.min(F.struct("path", "mine")).alias("first"))
         .select("host", "body", "first.*")
@@ -199,8 +258,21 @@ def bodies_beside(stored: DataFrame) -> DataFrame:
     asked = placed.select("host", "path", "body", "at", steps.alias("step")).withColumn("at", F.col("at") + F.col("step"))
     others = placed.select("at", F.col("host").alias("its"), F.col("path").alias("there"), F.col("mine").alias("other"))
     beside = asked.join(others, "at").filter("host = its")
-    near = F.struct(F.levenshtein("path", "there").alias("far"), "step", "other")
-    return beside.groupBy("host", "body").agg(F.collect_list(near).alias("near"))
+    # paths further apart than this count alike, then the order of URLs decides
+    far = F.levenshtein("path", "there", 64)
+    near = F.struct(F.when(far < 0, 65).otherwise(far).alias("far"), F.abs("step").alias("apart"), "step", "other")
+    others = beside.groupBy("host", "body").agg(F.sort_array(F.collect_list(near)).getField("other").alias("others"))
+    schema = pa.schema([("host", pa.string()), ("body", pa.int64()), ("gone", pa.list_(pa.int32()))])
+
+    def differed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            rows = zip(batch.column("mine").to_pylist(), batch.column("others").to_pylist(), strict=True)
+            gone = [template_lines(mine, several) for mine, several in rows]
+            kept = pa.array([bool(g) for g in gone])
+            yield record_batch(schema, batch.column("host"), batch.column("body"), gone).filter(kept)
+
+    compared = placed.select("host", "body", "mine").join(others, ["host", "body"])
+    return durable(compared.mapInArrow(differed, "host string, body long, gone array<int>"))
 
 
 def extract_main_text(pages: DataFrame) -> DataFrame:
@@ -209,23 +281,12 @@ def extract_main_text(pages: DataFrame) -> DataFrame:
     A null or empty page, or one without main text, has the empty text. A page
     without a host, or with no other body than copies of its own beside it, is
     compared with no other. Repeated rows are pages of their own, with equal texts.
-    Columns other than page_id, url and html are not read.
+    Columns other than page_id, url and html are not read. Pages are read twice, for
+    the comparison and for the text, which is cheaper than to store all texts between.
     """
-    stored = read_pages(pages)
-    compared = stored.join(bodies_beside(stored), ["host", "body"], "left").select(
-        "page_id", "url", "lines", "mine", "near"
-    )
-    schema = pa.schema([("page_id", pa.int64()), ("url", pa.string()), ("text", pa.string())])
-
-    def delete_shared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            texts = []
-            for row in batch.select(["lines", "mine", "near"]).to_pylist():
-                near = sorted(row["near"] or [], key=lambda x: (x["far"], abs(x["step"]), x["step"]))
-                other = next((x["other"] for x in near if not is_copy(row["mine"], x["other"])), [])
-                gone = shared_lines(row["mine"], other)
-                texts.append("\n".join(x for i, x in enumerate(row["lines"]) if i not in gone))
-            yield record_batch(schema, batch.column("page_id"), batch.column("url"), texts)
-
-    differed = compared.mapInArrow(delete_shared, "page_id long, url string, text string")
-    return differed.withColumn("n_chars", F.length("text").cast("long"))
+    gone = lines_to_delete(read_pages(pages))
+    kept = F.filter("lines", lambda _, at: ~F.array_contains("gone", at))
+    lines = F.when(F.col("gone").isNull(), F.col("lines")).otherwise(kept)
+    texts = read_pages(pages).join(gone, ["host", "body"], "left")
+    found = texts.select("page_id", "url", F.array_join(lines, "\n").alias("text"))
+    return found.withColumn("n_chars", F.length("text").cast("long"))

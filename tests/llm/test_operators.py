@@ -16,7 +16,7 @@ from amperline.llm.induced import CAP, sorted_suffixes
 from amperline.llm.jaccard import keep_one_of_each, near_duplicates
 from amperline.llm.katz import score_texts
 from amperline.llm.mixing import mix, source_weights
-from amperline.llm.pages import blocks_of, extract_main_text, shared_lines
+from amperline.llm.pages import blocks_of, extract_main_text, shared_lines, template_lines
 from amperline.llm.repeats import remove_repeats
 from amperline.llm.templates import drop_recurring_lines
 from amperline.llm.toxicity import drop_toxic, score_toxicity
@@ -198,10 +198,43 @@ def test_differencing_decides_on_every_page(spark):
     told = ["one\ntwo\nthree\nfour\nfive\nsix"] * 9
     assert found[0] == "teaser\nlong text"
     assert [found[i] for i in range(1, 10)] == told
-    assert found[10] == "one\nthree\nfour\nfive\nseven"
+    # "two" is on one other body only, so it is no line of the template
+    assert found[10] == "one\ntwo\nthree\nfour\nfive\nseven"
     assert found[11] == "else\ntwo"
 
 
+def test_template_lines_need_a_second_page():
+    assert template_lines([1, 2, 3, 4], [[1, 2, 9, 8], [1, 7, 6, 5], [1, 2, 3, 4]]) == [0]
+    assert template_lines([1, 2, 3, 4], [[1, 2, 9, 8]]) == [0, 1]
+    assert template_lines([1, 2, 3], [[1, 2, 9], [1, 2, 8], [1, 7, 6], [1, 5, 5]]) == [0]
+    assert template_lines([1, 2, 3, 4], [[1, 2, 3, 4]]) == template_lines([], []) == []
+
+
+@pytest.mark.parametrize(
+    "piece", ["<script ", "<a ", '<a "', "<a '\"<b'\" ", "<b></i>", "<!-- ", "<!x ", "<script>", "</script   ", "<", "<p>x</p>"]
+)
+def test_broken_markup_takes_linear_time(piece):
+    import time
+
+    start = time.perf_counter()
+    blocks_of(piece * (1_000_000 // len(piece)) + ">")
+    assert time.perf_counter() - start < 20
+
+
+def test_markup_of_broken_pages():
+    def texts(page):
+        return [text for _, text in blocks_of(page)]
+
+    assert texts('<p title="a>b">x</p>') == ["x"] and texts("<p title='a>b>x") == ["b>x"]
+    assert texts("a < b <!-- c") == ["a < b"] and texts("x <a ") == ["x <a"]
+    assert texts("1<script>if (a<b) '</p>'</script >2") == ["12"] and texts("1<style>x") == ["1"]
+    assert texts("<p>a<p>b</i></b>c") == ["a", "bc"] and texts("<div><nav>m</div>t") == ["t"]
+
+
+def test_pages_of_an_empty_table(spark):
+    assert extract_main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
 def test_marks_in_names_of_main_elements():
     for page in (
         '<article class="post comments-open"><p>text</p></article>',
