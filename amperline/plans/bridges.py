@@ -234,7 +234,8 @@ def weather_gold(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def weather_mart(spark: SparkSession, sf: str) -> DataFrame:
-    return marts.weather_forecast(weather_gold(spark, sf))
+    # stored as Gold is: the mart counts its rows per day and numbers them
+    return marts.weather_forecast(durable(weather_gold(spark, sf)))
 
 
 # customer -> charging stations -----------------------------------------------

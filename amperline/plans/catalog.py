@@ -551,7 +551,7 @@ def data_quality(spark, sf):
 
 @query
 def platform_status(spark, sf):
-    grid = b.grid_mart(spark, sf)
+    grid = durable(b.grid_mart(spark, sf))
     return quality.platform_status(
         grid, marts.authority_totals(grid), b.city_gold(spark, sf), b.weather_gold(spark, sf)
     )
@@ -662,44 +662,48 @@ def contract_gate(spark, sf):
     return sides.groupBy("side", "reason").agg(F.count("*").alias("records"))
 
 
-def _watermarks(spark, sf):
+def _received(spark, sf):
+    """Periods of every respondent in Silver, parsed once and stored: windows and coverage both read them."""
+    return durable(b.electricity_silver(spark, sf).select("respondent", "period"))
+
+
+def _watermarks(silver):
     """Oldest period per respondent as its control value; one never ran."""
-    silver = b.electricity_silver(spark, sf)
     oldest = silver.groupBy("respondent").agg(F.min("period").alias("oldest"))
     return oldest.select(
         "respondent", F.when(F.col("respondent") != "R0", F.col("oldest")).alias("watermark")
     )
 
 
-def _windows(spark, sf):
+def _windows(silver):
     return coverage.next_window(
-        _watermarks(spark, sf), b.NOW, "2024-01-05T00:00:00", max_window_hours=240
+        _watermarks(silver), b.NOW, "2024-01-05T00:00:00", max_window_hours=240
     )
 
 
 @query
 def incremental_window(spark, sf):
-    return _windows(spark, sf).select(
+    return _windows(b.electricity_silver(spark, sf)).select(
         "respondent", "watermark", "window_start", "window_end", *as_long("hour_count")
     )
 
 
 @query
 def coverage_gaps(spark, sf):
-    return coverage.coverage_gaps(
-        _windows(spark, sf), b.electricity_silver(spark, sf), ["respondent"]
-    )
+    silver = _received(spark, sf)
+    return coverage.coverage_gaps(_windows(silver), silver, ["respondent"])
 
 
 @query
 def watermark_advance(spark, sf):
-    return coverage.advance(_windows(spark, sf), b.electricity_silver(spark, sf), ["respondent"])
+    silver = _received(spark, sf)
+    return coverage.advance(_windows(silver), silver, ["respondent"])
 
 
 def _history_records(spark, sf):
-    return b.electricity_silver(spark, sf).select(
-        "period", "respondent", "respondent_name", "record_type", "type_name", "value", "value_units"
-    )
+    """Records to replay, stored: a plan reads them for the messages and for the gaps."""
+    names = ("period", "respondent", "respondent_name", "record_type", "type_name", "value", "value_units")
+    return durable(b.electricity_silver(spark, sf).select(*names))
 
 
 @query

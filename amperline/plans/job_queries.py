@@ -17,6 +17,7 @@ from amperline.plans.catalog import (
     ENVELOPE_OUTPUT,
     METRIC_OUTPUT,
     STATION_OUTPUT,
+    _received,
     _watermarks,
     query,
     rounded,
@@ -34,8 +35,8 @@ from amperline.streaming.outcomes import HandlerFailed, OutcomeLog, read_totals,
 def control_watermark(spark, sf):
     """Two windows in a row from a stored control table; the second starts where the first ended."""
     table = ControlTable(spark, scratch_folder(spark), "respondent STRING, watermark TIMESTAMP")
-    silver = durable(b.electricity_silver(spark, sf).select("respondent", "period"))
-    table.commit(_watermarks(spark, sf), 0)
+    silver = _received(spark, sf)
+    table.commit(_watermarks(silver), 0)
     runs = [
         coverage.advance_control(
             table, ["respondent"], silver, b.NOW, "2024-01-05T00:00:00", max_window_hours=2

@@ -64,9 +64,9 @@ def shapes(rng):
     }
 
 
-@pytest.mark.parametrize("seed", [1, 2])
-def test_baselines_match_brute_force(spark, seed):
-    run(spark, shapes(random.Random(seed)), 12)
+@pytest.mark.parametrize(("seed", "points"), [(1, 12), (2, 12), (3, 12_000)])
+def test_baselines_match_brute_force(spark, seed, points):
+    run(spark, shapes(random.Random(seed)), points)
 
 
 def test_bins_are_split_until_few_values_are_left(spark, monkeypatch):
