@@ -17,6 +17,17 @@ SPACES = " \t\n\x0b\x0c\r"
 _MIX_A, _MIX_B = np.uint64(0xBF58476D1CE4E5B9), np.uint64(0x94D049BB133111EB)
 
 
+def unused(columns: list[str], *names: str) -> list[str]:
+    """The names, each with underscores added until it is no column, whatever the case."""
+    taken, out = {c.lower() for c in columns}, []
+    for name in names:
+        while name.lower() in taken:
+            name += "_"
+        taken.add(name.lower())
+        out.append(name)
+    return out
+
+
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
     """One of the given tables."""
     return spark.read.parquet(f"{folder}/{name}.parquet")

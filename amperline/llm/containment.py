@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from amperline.llm.common import WordHash, mixed, shingle_hashes, shingle_set, small_batches
+from amperline.llm.common import WordHash, mixed, shingle_hashes, shingle_set, small_batches, unused
 
 _VALUES = 32
 _SEEDS = mixed(np.arange(1, _VALUES + 1, dtype=np.uint64))
@@ -124,17 +124,25 @@ def _item_blocks(items: DataFrame, words: int) -> Iterator[list[tuple[object, st
             yield [(r.item_id, r.text) for r in rows]
 
 
-def find_items(docs: DataFrame, items: DataFrame, width: int = 5, least: float = 0.8, words: int = 500_000) -> DataFrame:
-    """All columns of `docs` and _hits, the items contained in each whole text.
+def find_items(
+    docs: DataFrame,
+    items: DataFrame,
+    width: int = 5,
+    least: float = 0.8,
+    words: int = 500_000,
+    into: str = "_hits",
+) -> DataFrame:
+    """All columns of `docs` and `into`, the items contained in each whole text.
 
-    _hits is an array of (item_id, containment): every item of which at least `least`
+    A column of `docs` of that name is replaced. `into` is an array of (item_id, containment): every item of which at least `least`
     of the distinct shingles occur in the document. The items are a stated query
     set; they go over all documents in blocks of about `words` words, which bounds
-    what the driver and each task hold, and further blocks add to _hits. Items
+    what the driver and each task hold, and further blocks add to the array. Items
     without words are in no document; an item of fewer words than a shingle is
     sought as a run of its own length. Repeated documents are searched each, repeated items are one
     item for each id. A null or empty text and empty tables give empty arrays.
     """
+    docs = docs.drop(into)
     fields = docs.schema
     names = [f"_c{i}" for i in range(len(fields))]
     text = names[[f.name for f in fields].index("text")]
@@ -144,7 +152,7 @@ def find_items(docs: DataFrame, items: DataFrame, width: int = 5, least: float =
     out = docs.toDF(*names).withColumn("_hits", F.array().cast(hit_type))
     for block in _item_blocks(items, words):
         out = _search(out, block, text, f"{typed}, _hits {hit_type}", width, least)
-    return out.toDF(*fields.names, "_hits")
+    return out.toDF(*fields.names, into)
 
 
 def _search(docs: DataFrame, block: list[tuple], text: str, schema: str, width: int, least: float) -> DataFrame:
@@ -192,5 +200,6 @@ def contaminated(docs: DataFrame, items: DataFrame) -> DataFrame:
 
 
 def decontaminate(docs: DataFrame, items: DataFrame) -> DataFrame:
-    """The rows of `docs`, all columns, that contain no item."""
-    return find_items(docs, items).filter(F.size("_hits") == 0).drop("_hits")
+    """The rows of `docs`, all columns whatever their names, that contain no item."""
+    (mark,) = unused(docs.columns, "_hits")
+    return find_items(docs, items, into=mark).filter(F.size(mark) == 0).drop(mark)

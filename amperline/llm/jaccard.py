@@ -20,7 +20,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from amperline.llm.common import WordHash, mixed, record_batch, shingle_set, small_batches, text_key
+from amperline.llm.common import WordHash, mixed, record_batch, shingle_set, small_batches, text_key, unused
 from amperline.session import durable
 
 TREES, DEPTH = 20, 4
@@ -300,10 +300,17 @@ def components(edges: DataFrame) -> DataFrame:
 
 
 def near_duplicates(
-    docs: DataFrame, width: int = 5, least: float = 0.8, recall: float = 0.99999, block: int = 2048
+    docs: DataFrame,
+    width: int = 5,
+    least: float = 0.8,
+    recall: float = 0.99999,
+    block: int = 2048,
+    into: tuple[str, str, str, str] = ("_class", "_class_id", "_links", "_copies"),
 ) -> DataFrame:
     """All columns of `docs`, and _class, _class_id, _links and _copies.
 
+    `into` names these four otherwise; columns of `docs` of these names are replaced.
+
     Two texts are linked if the Jaccard similarity of their sets of word runs of
     `width` is `least` or more; a shorter text is one run. _links is the number of
     other texts a row's text is linked to, _copies the number of rows with its very
@@ -312,6 +319,7 @@ def near_duplicates(
     equal ones, null and empty among them, share a class. Ids may be null or
     repeated: rows are told apart by text. An empty table stays empty.
     """
+    docs = docs.drop(*into)
     fields = docs.columns
     names = [f"_c{i}" for i in range(len(fields))]
     plain = docs.toDF(*names)
@@ -335,7 +343,8 @@ def near_duplicates(
         F.col("copies").alias("_copies"),
     )
     return plain.withColumn("key", text_key(text)).join(facts, "key").select(
-        *[F.col(n).alias(f) for n, f in zip(names, fields, strict=True)], "_class", "_class_id", "_links", "_copies"
+        *[F.col(n).alias(f) for n, f in zip(names, fields, strict=True)],
+        *[F.col(n).alias(f) for n, f in zip(("_class", "_class_id", "_links", "_copies"), into, strict=True)],
     )
 
 
@@ -352,7 +361,8 @@ def near_duplicate_classes(docs: DataFrame) -> DataFrame:
 
 def keep_one_of_each(docs: DataFrame) -> DataFrame:
     """One row of each class of near duplicates, that of the smallest id, with the columns of `docs`."""
-    marked = near_duplicates(docs)
-    order = Window.partitionBy("_class").orderBy(F.col("doc_id").asc_nulls_last(), text_key(F.col("text")))
-    first = marked.withColumn("_rank", F.row_number().over(order)).filter("_rank = 1")
-    return first.drop("_rank", "_class", "_class_id", "_links", "_copies")
+    *into, rank = unused(docs.columns, "_class", "_class_id", "_links", "_copies", "_rank")
+    marked = near_duplicates(docs, into=tuple(into))
+    order = Window.partitionBy(into[0]).orderBy(F.col("doc_id").asc_nulls_last(), text_key(F.col("text")))
+    first = marked.withColumn(rank, F.row_number().over(order)).filter(F.col(rank) == 1)
+    return first.drop(rank, *into)

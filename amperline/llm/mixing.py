@@ -83,10 +83,12 @@ def mix(
     budget: int | None = None,
     block_tokens: int = 200_000,
     seed: int = 17,
+    into: tuple[str, str, str, str] = ("_epoch", "_block", "_order", "_weight"),
 ) -> DataFrame:
     """Documents as often as the mixture gives them out, in its order.
 
-    Returns every column of `docs` and _epoch (0 first), _block and _order (position
+    `into` names the four columns added; columns of `docs` of these names are replaced.
+    Returns every other column of `docs` and _epoch (0 first), _block and _order (position
     of the block in its epoch, and of the document in its block), _weight. Rows of
     a null source are one source. A text without words has no tokens and takes
     nothing from a budget: it goes with every whole block of its source; a source
@@ -99,6 +101,7 @@ def mix(
     `block_tokens` words. A source that holds a third of all rows has more blocks,
     not a larger one.
     """
+    docs = docs.drop(*into)
     fields = docs.columns
     names = [f"_c{i}" for i in range(len(fields))]
     plain = docs.toDF(*names)
@@ -138,10 +141,10 @@ def mix(
     )
     out = whole.unionByName(cut).select(
         *[F.col(n).alias(f) for n, f in zip(names, fields, strict=True)],
-        F.col("_epoch"),
-        F.col("_place").alias("_block"),
-        F.col("_at").alias("_order"),
-        F.col("_weight"),
+        F.col("_epoch").alias(into[0]),
+        F.col("_place").alias(into[1]),
+        F.col("_at").alias(into[2]),
+        F.col("_weight").alias(into[3]),
     )
     return out
 

@@ -157,15 +157,23 @@ def recurring_lines(docs: DataFrame, text: str, depth: int, least: int, alike: f
 
 
 def drop_recurring_lines(
-    docs: DataFrame, text: str = "text", depth: int = 3, least: int = 10, alike: float = 0.5
+    docs: DataFrame,
+    text: str = "text",
+    depth: int = 3,
+    least: int = 10,
+    alike: float = 0.5,
+    into: tuple[str, str] = ("_lines", "_dropped"),
 ) -> DataFrame:
-    """All columns of `docs`, the text without its recurring lines, and _lines and _dropped, the counts.
+    """All columns of `docs`, the text without its recurring lines, and how many lines it had and lost.
+
+    The counts are named by `into`; columns of `docs` of these names are replaced.
 
     Rows stay, also those whose text is nothing but recurring lines (then it is
     empty). A null text stays null and an empty one empty, each of one line without
     tokens; lines without tokens are never dropped. Repeated rows are treated alike
-    and count as one text. Other columns, also of names used here, pass through.
+    and count as one text. Other columns, also of names used on the way, pass through.
     """
+    docs = docs.drop(*into)
     fields = docs.columns
     names = [f"_c{i}" for i in range(len(fields))]
     plain = docs.toDF(*names)
@@ -177,8 +185,8 @@ def drop_recurring_lines(
     joined = plain.withColumn("_text", text_key(F.col(own))).join(drops, "_text", "left")
     return joined.select(
         *[(kept if n == own else F.col(n)).alias(f) for n, f in zip(names, fields, strict=True)],
-        F.size(lines).alias("_lines"),
-        F.coalesce(F.size("_drop"), F.lit(0)).alias("_dropped"),
+        F.size(lines).alias(into[0]),
+        F.coalesce(F.size("_drop"), F.lit(0)).alias(into[1]),
     )
 
 

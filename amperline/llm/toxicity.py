@@ -17,7 +17,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from amperline.llm.common import fold, record_batch, small_batches
+from amperline.llm.common import fold, record_batch, small_batches, unused
 
 #: Stripped from both ends of a word.
 EDGES = b".,;:!?\"'()[]{}<>|*#$%&-_/\\`~+=^@"
@@ -182,12 +182,15 @@ def _descend(buckets: np.ndarray, rows: list[tuple], factors: int, rounds: int)
     return FactorizationMachine(buckets, float(values[0]), values[1 : k + 1], values[k + 1 :].reshape(k, factors))
 
 
-def scored(docs: DataFrame, model: FactorizationMachine, width: int = 1 << 20) -> DataFrame:
-    """All columns of `docs` and _score, the probability of label 1 of each whole text.
+def scored(docs: DataFrame, model: FactorizationMachine, width: int = 1 << 20, into: str = "_score") -> DataFrame:
+    """All columns of `docs` and `into`, the probability of label 1 of each whole text.
+
+    A column of `docs` of that name is replaced.
 
     Only the text is an input. A null or empty text gets the score of no terms.
     The model has at most a few thousand buckets and travels with the function.
     """
+    docs = docs.drop(into)
     fields = docs.schema
     names = [f"_c{i}" for i in range(len(fields))]
     plain = docs.toDF(*names)
@@ -204,7 +207,7 @@ def scored(docs: DataFrame, model: FactorizationMachine, width: int = 1 << 20) -
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(values)], [*names, "_score"])
 
     typed = ", ".join(f"{n} {f.dataType.simpleString()}" for n, f in zip(names, fields, strict=True))
-    return plain.mapInArrow(score, f"{typed}, _score double").toDF(*fields.names, "_score")
+    return plain.mapInArrow(score, f"{typed}, _score double").toDF(*fields.names, into)
 
 
 def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
@@ -225,5 +228,6 @@ def score_toxicity(docs: DataFrame, labels: DataFrame) -> DataFrame:
 
 
 def drop_toxic(docs: DataFrame, labels: DataFrame) -> DataFrame:
-    """The rows of `docs`, all columns, whose text is not predicted toxic."""
-    return scored(docs, fit(docs, labels)).filter(F.col("_score") < 0.5).drop("_score")
+    """The rows of `docs`, all columns whatever their names, whose text is not predicted toxic."""
+    (mark,) = unused(docs.columns, "_score")
+    return scored(docs, fit(docs, labels), into=mark).filter(F.col(mark) < 0.5).drop(mark)
