@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from amperline.llm.common import table
+from amperline.llm.common import table, unused
 from amperline.llm.containment import decontaminate
 from amperline.llm.jaccard import keep_one_of_each
 from amperline.llm.mixing import mix
@@ -23,9 +23,10 @@ def without_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def without_recurring_lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents without the lines of recurring templates; n_chars follows the text."""
-    cleaned = drop_recurring_lines(docs)
-    length = F.when(F.col("_dropped") > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
-    return cleaned.withColumn("n_chars", length).drop("_lines", "_dropped")
+    lines, dropped = unused(docs.columns, "_lines", "_dropped")
+    cleaned = drop_recurring_lines(docs, into=(lines, dropped))
+    length = F.when(F.col(dropped) > 0, F.length("text").cast("long")).otherwise(F.col("n_chars"))
+    return cleaned.withColumn("n_chars", length).drop(lines, dropped)
 
 
 def one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -39,11 +40,8 @@ def without_test_items(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
 
 
 def mixed_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """What the mixture of sources gives out: documents with epoch, order keys and weight."""
-    given = mix(docs)
-    return given.withColumnsRenamed(
-        {"_epoch": "epoch", "_block": "block_order", "_order": "doc_order", "_weight": "weight"}
-    )
+    """What the mixture of sources gives out: documents with epoch, order keys and weight in place of columns so named."""
+    return mix(docs, into=("epoch", "block_order", "doc_order", "weight"))
 
 
 STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] = [
@@ -54,7 +52,7 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
     ("mixing", mixed_sources),
 ]
 
-#: The classifier and the MinHash searches have no SQL; the tests compare the stages with brute force.
+#: The classifier and the MinHash searches have no SQL; tests/llm compares the stages with brute force on small tables.
 ORACLE_SQL = None
 
 
