@@ -317,3 +317,38 @@ def test_language_model(docs, nothing):
     assert sorted((str(r.doc_id), r.n_tokens, r.n_known, round(r.base_score, 6)) for r in found) == sorted(expected)
     assert all(r.score < 0 and math.isfinite(r.score) for r in found)
     assert score_texts(nothing).count() == 0
+
+
+def test_host_rates_equal_brute_force_and_reject_by_rule(spark):
+    rng = np.random.default_rng(4)
+    hosts = {"good": (400, 0.1), "other": (300, 0.12), "bad": (200, 0.9), "small": (2, 1.0), None: (50, 0.1)}
+    rows = []
+    for host, (count, share) in hosts.items():
+        for _ in range(count):
+            rows.append((len(rows), words(len(rows), 10 if rng.random() < share else 60), host))
+    rows += [(len(rows) + i, words(5000 + i, 100).replace("w", "##w"), "marks") for i in range(100)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string")
+    failed = {i: len(t.split()) < 50 or 100 * measure(t)[4] > 50 * len(t.split()) for i, t, _ in rows}
+    symbols = {i: 100 * measure(t)[2] > 10 * measure(t)[1] for i, t, _ in rows}
+
+    def shrunk(broken):
+        n, k = Counter(h for _, _, h in rows), Counter(h for i, _, h in rows if broken[i])
+        total, mean = len(rows), sum(broken.values()) / len(rows)
+        beyond = sum(k[h] ** 2 / n[h] for h in n) / total - mean**2 - mean * (1 - mean) * len(n) / total
+        strength = min(total, mean * (1 - mean) / beyond) if beyond > 0 else total
+        rate = {h: (k[h] + mean * strength) / (n[h] + strength) for h in n}
+        low = {h: rate[h] - 3 * math.sqrt(rate[h] * (1 - rate[h]) / (n[h] + strength + 1)) for h in n}
+        return rate, {h for h in n if low[h] > max(0.25, 2 * mean)}
+
+    rate, out = shrunk(failed)
+    _, marked = shrunk(symbols)
+    assert out == {"bad"} and marked == {"marks"}
+    found = {r.doc_id: r for r in judge_by_host(docs).collect()}
+    assert len(found) == len(rows)
+    for i, _, host in rows:
+        row = found[i]
+        assert row.host_rate == pytest.approx(rate[host], abs=2e-9)
+        names = ["base"] * (host in out) + ["symbols"] * (host in marked)
+        assert row.host_rules == ",".join(names)
+        assert row.base_failed == failed[i] and row.kept == (not failed[i] and not names)
+    assert sum(r.kept for r in found.values()) < sum(not r.base_failed for r in found.values())
