@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from amperline.llm.common import text_key
+from amperline.llm.common import SPACES, text_key
 from amperline.session import durable
 
 FIELD = "<*>"
@@ -31,20 +31,18 @@ _TOKEN = r"[^\x20\x09-\x0D]+"
 RUN, SKETCH, BUCKETS, COPY = 5, 48, 8, 0.5
 
 
-def _tokens(line: Column, most: int = -1) -> Column:
-    return F.split(F.regexp_replace(line, rf"^{_GAP}|{_GAP}$", ""), _GAP, most)
+def _tokens(line: Column) -> Column:
+    return F.split(F.btrim(line, F.lit(SPACES)), _GAP)
 
 
 def _masked(token: Column) -> Column:
     return F.when(token.rlike("[0-9]"), F.lit(FIELD)).otherwise(token)
 
 
-def _leaf(line: Column, depth: int) -> Column:
+def _leaf(tokens: Column, depth: int) -> Column:
     """Hash of a line's way down the tree."""
-    leading = _tokens(line, depth + 1)
-    steps = [_masked(F.coalesce(F.get(leading, F.lit(i)), F.lit(""))) for i in range(depth)]
-    count = F.regexp_count(line, F.lit(_TOKEN))
-    return F.xxhash64(count, *steps)
+    steps = [_masked(F.coalesce(F.get(tokens, F.lit(i)), F.lit(""))) for i in range(depth)]
+    return F.xxhash64(F.size(tokens), *steps)
 
 
 def tree_lines(docs: DataFrame, text: str, depth: int) -> DataFrame:
@@ -53,14 +51,15 @@ def tree_lines(docs: DataFrame, text: str, depth: int) -> DataFrame:
         text_key(F.col(text)).alias("_text"),
         F.posexplode(F.split(F.coalesce(F.col(text).cast("string"), F.lit("")), "\n")).alias("_pos", "_line"),
     )
-    return lines.filter(F.col("_line").rlike(_TOKEN)).withColumn("_leaf", _leaf(F.col("_line"), depth))
+    filled = F.btrim(F.col("_line"), F.lit(SPACES)) != ""
+    return lines.filter(filled).withColumn("_leaf", _leaf(_tokens(F.col("_line")), depth))
 
 
 def _sketch() -> Column:
     """The smallest distinct hashes of all runs of _words, in order; a shorter text is one run."""
-    run = lambda at: F.xxhash64(*[F.get("_words", at + i) for i in range(RUN)])
-    starts = F.sequence(F.lit(0), F.greatest(F.size("_words") - RUN, F.lit(0)))
-    return F.slice(F.array_sort(F.array_distinct(F.transform(starts, run))), 1, SKETCH)
+    starts = F.sequence(F.lit(1), F.greatest(F.size("_words") - RUN + 1, F.lit(1)))
+    runs = F.transform(starts, lambda at: F.xxhash64(F.slice("_words", at, RUN)))
+    return F.slice(F.sort_array(F.array_distinct(runs)), 1, SKETCH)
 
 
 def near_copies(docs: DataFrame, text: str) -> DataFrame:
@@ -79,7 +78,7 @@ def near_copies(docs: DataFrame, text: str) -> DataFrame:
     pairs = keys.join(firsts.drop("_n"), "_key").filter("_own <> _first").select("_own", "_first").distinct()
     sketches = sketched.select("_own", "_sketch")
     both = pairs.join(sketches, "_own").join(sketches.toDF("_first", "_other"), "_first")
-    union = F.slice(F.array_sort(F.array_union("_sketch", "_other")), 1, SKETCH)
+    union = F.slice(F.sort_array(F.array_union("_sketch", "_other")), 1, SKETCH)
     shared = F.size(F.array_intersect(F.array_intersect("_sketch", "_other"), "_union"))
     links = durable(
         both.withColumn("_union", union)
@@ -116,7 +115,8 @@ def recurring_lines(docs: DataFrame, text: str, depth: int, least: int, alike: f
     families = near_copies(docs, text)
     family = F.coalesce("_family", "_own").alias("_family")
     placed = lines.select("_leaf", "_own").distinct().join(families, "_own", "left").select("_leaf", family)
-    leaves = _in_texts(placed, "_leaf").filter(F.col("_texts") >= least).select("_leaf")
+    # stored, so that its size decides how lines meet it: a small table is sent to the lines, which are not shuffled then
+    leaves = durable(_in_texts(placed, "_leaf").filter(F.col("_texts") >= least).select("_leaf"))
     near = durable(
         lines.join(leaves, "_leaf").distinct().join(families, "_own", "left")
         .select("_text", "_pos", "_line", "_leaf", family)
