@@ -47,18 +47,18 @@ def _leaf(tokens: Column, depth: int) -> Column:
 
 def tree_lines(docs: DataFrame, text: str, depth: int) -> DataFrame:
     """Every line that has tokens: its text's key, its position and its leaf."""
-    lines = docs.select(
-        text_key(F.col(text)).alias("_text"),
-        F.posexplode(F.split(F.coalesce(F.col(text).cast("string"), F.lit("")), "\n")).alias("_pos", "_line"),
-    )
+    split = F.split(F.coalesce(F.col(text).cast("string"), F.lit("")), "\n")
+    # the key is made below the generator, once for each text and not for each of its lines
+    keyed = docs.select(text_key(F.col(text)).alias("_text"), split.alias("_all"))
+    lines = keyed.select("_text", F.posexplode("_all").alias("_pos", "_line"))
     filled = F.btrim(F.col("_line"), F.lit(SPACES)) != ""
     return lines.filter(filled).withColumn("_leaf", _leaf(_tokens(F.col("_line")), depth))
 
 
 def _sketch() -> Column:
     """The smallest distinct hashes of all runs of _words, in order; a shorter text is one run."""
-    starts = F.sequence(F.lit(1), F.greatest(F.size("_words") - RUN + 1, F.lit(1)))
-    runs = F.transform(starts, lambda at: F.xxhash64(F.slice("_words", at, RUN)))
+    starts = F.sequence(F.lit(0), F.greatest(F.size("_words") - RUN, F.lit(0)))
+    runs = F.transform(starts, lambda at: F.xxhash64(*[F.get("_words", at + i) for i in range(RUN)]))
     return F.slice(F.sort_array(F.array_distinct(runs)), 1, SKETCH)
 
 
