@@ -105,20 +105,13 @@ def term_table(texts: DataFrame, width: int) -> DataFrame:
     return texts.mapInArrow(hashed, "id long, terms array<int>")
 
 
-def telling_buckets(terms: DataFrame, texts: int, positive: int, least: int, most: int) -> list[int]:
-    """The buckets whose presence tells most about the label, by chi-square over all labelled texts."""
-    seen = (
-        terms.select("label", F.explode("terms").alias("bucket"))
-        .groupBy("bucket")
-        .agg(F.count("*").cast("double").alias("n"), F.sum("label").cast("double").alias("k"))
-        .filter(F.col("n") >= least)
-    )
-    expected = F.col("n") * (positive / texts)
-    spread = expected * (1 - positive / texts) * (1 - F.col("n") / texts)
-    chi = (F.col("k") - expected) * (F.col("k") - expected) / F.greatest(spread, F.lit(1e-9))
-    # a value that chance reaches once in a million terms carries no signal
-    best = seen.select("bucket", chi.alias("chi")).filter("chi >= 24").orderBy(F.desc("chi"), "bucket").limit(most)
-    return sorted(r.bucket for r in best.collect())
+def frequent_buckets(terms: DataFrame, least: int) -> list[int]:
+    """The buckets found in at least `least` of the labelled texts, whatever their label.
+
+    No term is judged by itself: two terms may tell nothing alone and all as a pair.
+    """
+    seen = terms.select(F.explode("terms").alias("bucket")).groupBy("bucket").agg(F.count("*").alias("n"))
+    return sorted(r.bucket for r in seen.filter(F.col("n") >= least).select("bucket").collect())
 
 
 def fit(
@@ -127,16 +120,19 @@ def fit(
     label: str = "toxic",
     sample: int = 20_000,
     width: int = 1 << 20,
-    terms: int = 2048,
+    least: int = 5,
     factors: int = 4,
-    rounds: int = 300,
+    rounds: int = 150,
+    penalty: float = 4.0,
 ) -> FactorizationMachine:
     """Learn from labelled texts outside the held-out fold.
 
-    `sample` bounds the labelled texts and `terms` the buckets used, so what comes to
-    the driver is at most sample * terms bits, and far less in practice. Training is
+    All terms in at least `least` of the labelled texts are learnt from. `sample`
+    bounds these texts and `width` the buckets, so what comes to the driver is bounded
+    by the distinct terms of `sample` texts, four bytes each. Training is
     gradient descent over all of it at once with a fixed start, so the same rows
-    give the same model. Without labels, or with one class only, the model is its
+    give the same model. `penalty` is what a weight, or the length of a vector, must
+    gain in loss to leave zero; terms left with neither are not kept. Without labels, or with one class only, the model is its
     bias.
     """
     found = learning_rows(docs, labels, label, sample, width).cache()
@@ -145,25 +141,25 @@ def fit(
         if not 0 < positive < size:
             bias = np.log((positive + 0.5) / (size - positive + 0.5))
             return FactorizationMachine(np.zeros(0, np.int64), float(bias), np.zeros(0), np.zeros((0, factors)))
-        buckets = telling_buckets(found, size, positive, 5, terms)
-        used = F.array_intersect("terms", F.array(*map(F.lit, buckets)).cast("array<int>"))
-        rows = found.select("label", used.alias("terms")).groupBy("label", "terms").agg(F.count("*").alias("n"))
-        rows = sorted((r.label, list(r.terms), r.n) for r in rows.collect())
+        buckets = np.array(frequent_buckets(found, least), np.int64)
+        rows = found.groupBy("label", "terms").agg(F.count("*").alias("n")).orderBy("label", "terms").toArrow()
     finally:
         found.unpersist()
-    return _descend(np.array(buckets, np.int64), rows, factors, rounds)
+    return _descend(buckets, rows, factors, rounds, penalty)
 
 
-def _descend(buckets: np.ndarray, rows: list[tuple], factors: int, rounds: int) -> FactorizationMachine:
-    """Logistic loss with weight decay, all rows in each step (Adam)."""
-    label = np.array([r[0] for r in rows], float)
-    count = np.array([r[2] for r in rows], float)
-    owner = np.repeat(np.arange(len(rows)), [len(r[1]) for r in rows])
-    term = np.searchsorted(buckets, np.concatenate([np.array(r[1], np.int64) for r in rows] + [np.zeros(0, np.int64)]))
+def _descend(buckets: np.ndarray, rows: pa.Table, factors: int, rounds: int, penalty: float) -> FactorizationMachine:
+    """Logistic loss with weight decay and penalties on size, all rows in each step (Adam, then shrinking)."""
+    label, count = (rows.column(c).to_numpy().astype(float) for c in ("label", "n"))
+    lists = rows.column("terms").combine_chunks()
+    owner = np.repeat(np.arange(len(rows)), lists.value_lengths().to_numpy())
+    flat = lists.flatten().to_numpy()
+    used = np.isin(flat, buckets)
+    owner, term = owner[used], np.searchsorted(buckets, flat[used])
     start = np.random.default_rng(7)
     k = len(buckets)
     values = np.concatenate([[np.log(label @ count / (count.sum() - label @ count))], np.zeros(k), start.normal(0, 0.05, k * factors)])
-    decay = np.concatenate([[0.0], np.full(k, 0.3), np.full(k * factors, 1.0)])
+    decay = np.concatenate([[0.0], np.full(k, 0.1), np.full(k * factors, 0.3)])
     mean, square = np.zeros_like(values), np.zeros_like(values)
     for step in range(1, rounds + 1):
         model = FactorizationMachine(buckets, values[0], values[1 : k + 1], values[k + 1 :].reshape(k, factors))
@@ -178,8 +174,17 @@ def _descend(buckets: np.ndarray, rows: list[tuple], factors: int, rounds: int)
         slope += decay * values
         mean += 0.1 * (slope - mean)
         square += 0.01 * (slope * slope - square)
-        values = values - 0.05 * (mean / (1 - 0.9**step)) / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
-    return FactorizationMachine(buckets, float(values[0]), values[1 : k + 1], values[k + 1 :].reshape(k, factors))
+        pace = 0.05 / (np.sqrt(square / (1 - 0.99**step)) + 1e-8)
+        values = values - pace * mean / (1 - 0.9**step)
+        weights, vectors = values[1 : k + 1], values[k + 1 :].reshape(k, factors)
+        weights[:] = np.sign(weights) * np.maximum(np.abs(weights) - pace[1 : k + 1] * penalty, 0)
+        # a vector shrinks as a whole, at the pace of its components together
+        joint = 1 / np.sqrt((1 / pace[k + 1 :].reshape(k, factors) ** 2).mean(axis=1))
+        length = np.sqrt((vectors * vectors).sum(axis=1))
+        vectors *= np.maximum(1 - joint * penalty / np.maximum(length, 1e-12), 0)[:, None]
+    weights, vectors = values[1 : k + 1], values[k + 1 :].reshape(k, factors)
+    kept = (weights != 0) | vectors.any(axis=1)
+    return FactorizationMachine(buckets[kept], float(values[0]), weights[kept], vectors[kept])
 
 
 def scored(docs: DataFrame, model: FactorizationMachine, width: int = 1 << 20, into: str = "_score") -> DataFrame:
@@ -188,7 +193,7 @@ def scored(docs: DataFrame, model: FactorizationMachine, width: int = 1 << 20, i
     A column of `docs` of that name is replaced.
 
     Only the text is an input. A null or empty text gets the score of no terms.
-    The model has at most a few thousand buckets and travels with the function.
+    The model holds the buckets its penalty left, `width` at most, and travels with the function.
     """
     docs = docs.drop(into)
     fields = docs.schema
