@@ -303,14 +303,6 @@ def test_toxicity(spark, docs, nothing):
     assert score_toxicity(nothing, labels).count() == 0
 
 
-def test_toxicity_learns_pairs_that_tell_nothing_alone(spark):
-    rows = [(i, words(i, 20) + " insult" * (i & 1) + " group" * (i >> 1 & 1)) for i in range(2000)]
-    frame = spark.createDataFrame(rows, "doc_id long, text string")
-    labels = spark.createDataFrame([(i, (i ^ i >> 1) & 1) for i in range(2000)], "doc_id long, toxic int")
-    held = [r for r in score_toxicity(frame, labels).collect() if r.held_out]
-    assert np.mean([r.predicted == (r.doc_id ^ r.doc_id >> 1) & 1 for r in held]) > 0.95
-
-
 def test_language_model(docs, nothing):
     found = score_texts(docs, block_bytes=500, bucket_keys=100).collect()
     tokens = [(i, [*(t or "").encode().lower().split(), b""]) for i, t in TEXTS]
