@@ -9,7 +9,9 @@ in at least `least` different texts recur, and their lines are dropped, wherever
 a text they stand. A group of near copies counts as one text, so copies of one
 text, exact or with a few words changed, keep their lines.
 
-Near copies are found by a sketch of each text, the smallest hashes of its runs of
+Only texts with a line whose way down the tree is that of lines in `least` different
+texts are looked at beyond the first pass: no other text can hold a recurring line.
+Among them near copies are found by a sketch of each text, the smallest hashes of its runs of
 words. Texts that share one of the first of these are compared with the one of
 smallest key among them, and join it if the sketches tell a Jaccard similarity of
 at least `COPY`. So no bucket is compared with itself pair by pair.
@@ -26,7 +28,6 @@ from amperline.session import durable
 FIELD = "<*>"
 #: White space between tokens.
 _GAP = r"[\x20\x09-\x0D]+"
-_TOKEN = r"[^\x20\x09-\x0D]+"
 #: Words of a run, hashes of a sketch, hashes that bring texts together, least similarity of near copies.
 RUN, SKETCH, BUCKETS, COPY = 5, 48, 8, 0.5
 
@@ -62,14 +63,13 @@ def _sketch() -> Column:
     return F.slice(F.sort_array(F.array_distinct(runs)), 1, SKETCH)
 
 
-def near_copies(docs: DataFrame, text: str) -> DataFrame:
-    """Texts that are near copies of another: key of the text, and the family it is counted with."""
+def near_copies(texts: DataFrame) -> DataFrame:
+    """Texts (_own, _body) that are near copies of another: _own, and the family it is counted with."""
     # the upper halves keep the order and take half the space
     short = F.transform("_low", lambda x: F.shiftright(x, 32).cast("int"))
     sketched = durable(
-        docs.filter(F.col(text).cast("string").rlike(_TOKEN))
-        .select(text_key(F.col(text)).alias("_text"), _tokens(F.col(text).cast("string")).alias("_words"))
-        .select(F.xxhash64("_text").alias("_own"), _sketch().alias("_low"))
+        texts.select("_own", _tokens(F.col("_body")).alias("_words"))
+        .select("_own", _sketch().alias("_low"))
         .select("_own", F.slice("_low", 1, BUCKETS).alias("_keys"), short.alias("_sketch"))
         .dropDuplicates(["_own"])
     )
@@ -108,17 +108,32 @@ def recurring_lines(docs: DataFrame, text: str, depth: int, least: int, alike: f
     """Positions of recurring lines: one row per text that has any, with an array of them.
 
     Counts are of texts, near copies counted once, so copies of one text do not make
-    its lines recur. All counts are combined before they are shuffled, first by leaf:
-    lines whose leaf is in too few texts, most of them, are not looked at again.
+    its lines recur. Lines are counted by leaf first, without their text; a text that
+    has none in a leaf of enough texts is not read again.
     """
-    lines = tree_lines(docs, text, depth).withColumn("_own", F.xxhash64("_text"))
-    families = near_copies(docs, text)
+    lines = tree_lines(docs, text, depth)
+    places = durable(lines.select(F.xxhash64("_text").alias("_own"), "_pos", "_leaf").distinct())
+    often = _in_texts(places.withColumnRenamed("_own", "_family"), "_leaf").filter(F.col("_texts") >= least)
+    # one row per text, with the positions of its lines in such leaves and the leaves themselves
+    shared = durable(
+        places.join(often.select("_leaf"), "_leaf")
+        .groupBy("_own")
+        .agg(F.sort_array(F.collect_list(F.struct("_pos", "_leaf"))).alias("_at"))
+    )
+    body = F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_body")
+    keyed = docs.select(text_key(F.col(text)).alias("_text"), body).withColumn("_own", F.xxhash64("_text"))
+    # stored, so that the texts meet their lines once for the sketches and the templates
+    held = durable(keyed.join(shared, "_own"))
+    families = near_copies(held)
     family = F.coalesce("_family", "_own").alias("_family")
-    placed = lines.select("_leaf", "_own").distinct().join(families, "_own", "left").select("_leaf", family)
-    # stored, so that its size decides how lines meet it: a small table is sent to the lines, which are not shuffled then
+    placed = shared.select("_own", F.explode("_at._leaf").alias("_leaf")).distinct()
+    placed = placed.join(families, "_own", "left").select("_leaf", family)
     leaves = durable(_in_texts(placed, "_leaf").filter(F.col("_texts") >= least).select("_leaf"))
+    wanted = F.filter(F.split("_body", "\n"), lambda _, at: F.array_contains("_at._pos", at))
+    found = held.select("_text", "_own", F.explode(F.arrays_zip("_at", wanted.alias("_line"))).alias("_found"))
+    found = found.select("_text", "_own", "_found._at._pos", "_found._at._leaf", "_found._line")
     near = durable(
-        lines.join(leaves, "_leaf").distinct().join(families, "_own", "left")
+        found.join(leaves, "_leaf").distinct().join(families, "_own", "left")
         .select("_text", "_pos", "_line", "_leaf", family)
     )
     constants = (
