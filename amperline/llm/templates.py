@@ -57,7 +57,7 @@ def tree_lines(docs: DataFrame, text: str, depth: int) -> DataFrame:
 
 
 def _sketch() -> Column:
-    """The smallest distinct hashes of all runs of _words, in order; a shorter text is one run."""
+    """The smallest distinct hashes of all runs of _words (hashes of words), in order; a shorter text is one run."""
     starts = F.sequence(F.lit(0), F.greatest(F.size("_words") - RUN, F.lit(0)))
     runs = F.transform(starts, lambda at: F.xxhash64(*[F.get("_words", at + i) for i in range(RUN)]))
     return F.slice(F.sort_array(F.array_distinct(runs)), 1, SKETCH)
@@ -68,7 +68,7 @@ def near_copies(texts: DataFrame) -> DataFrame:
     # the upper halves keep the order and take half the space
     short = F.transform("_low", lambda x: F.shiftright(x, 32).cast("int"))
     sketched = durable(
-        texts.select("_own", _tokens(F.col("_body")).alias("_words"))
+        texts.select("_own", F.transform(_tokens(F.col("_body")), lambda word: F.xxhash64(word)).alias("_words"))
         .select("_own", _sketch().alias("_low"))
         .select("_own", F.slice("_low", 1, BUCKETS).alias("_keys"), short.alias("_sketch"))
         .dropDuplicates(["_own"])
