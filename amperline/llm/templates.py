@@ -112,26 +112,18 @@ def recurring_lines(docs: DataFrame, text: str, depth: int, least: int, alike: f
     has none in a leaf of enough texts is not read again.
     """
     lines = tree_lines(docs, text, depth)
-    places = durable(lines.select(F.xxhash64("_text").alias("_own"), "_pos", "_leaf").distinct())
+    places = durable(lines.select(F.xxhash64("_text").alias("_own"), "_leaf").distinct())
     often = _in_texts(places.withColumnRenamed("_own", "_family"), "_leaf").filter(F.col("_texts") >= least)
-    # one row per text, with the positions of its lines in such leaves and the leaves themselves
-    shared = durable(
-        places.join(often.select("_leaf"), "_leaf")
-        .groupBy("_own")
-        .agg(F.sort_array(F.collect_list(F.struct("_pos", "_leaf"))).alias("_at"))
-    )
-    body = F.coalesce(F.col(text).cast("string"), F.lit("")).alias("_body")
-    keyed = docs.select(text_key(F.col(text)).alias("_text"), body).withColumn("_own", F.xxhash64("_text"))
-    # stored, so that the texts meet their lines once for the sketches and the templates
-    held = durable(keyed.join(shared, "_own"))
+    shared = durable(places.join(often.select("_leaf"), "_leaf").select("_own", "_leaf").distinct())
+    # ids only, so that they can be sent to the texts for as long as they are few
+    wanted = durable(shared.select("_own").distinct())
+    held = docs.select(F.xxhash64(text_key(F.col(text))).alias("_own"), F.col(text).cast("string").alias("_body"))
+    held = durable(held.join(wanted, "_own", "left_semi"))
     families = near_copies(held)
     family = F.coalesce("_family", "_own").alias("_family")
-    placed = shared.select("_own", F.explode("_at._leaf").alias("_leaf")).distinct()
-    placed = placed.join(families, "_own", "left").select("_leaf", family)
+    placed = shared.join(families, "_own", "left").select("_leaf", family)
     leaves = durable(_in_texts(placed, "_leaf").filter(F.col("_texts") >= least).select("_leaf"))
-    wanted = F.filter(F.split("_body", "\n"), lambda _, at: F.array_contains("_at._pos", at))
-    found = held.select("_text", "_own", F.explode(F.arrays_zip("_at", wanted.alias("_line"))).alias("_found"))
-    found = found.select("_text", "_own", "_found._at._pos", "_found._at._leaf", "_found._line")
+    found = tree_lines(held, "_body", depth).withColumn("_own", F.xxhash64("_text"))
     near = durable(
         found.join(leaves, "_leaf").distinct().join(families, "_own", "left")
         .select("_text", "_pos", "_line", "_leaf", family)
