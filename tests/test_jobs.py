@@ -175,3 +175,26 @@ def test_serving_bounds(spark):
         serving.cities(frame, "OHIO")
     with pytest.raises(ValueError):
         serving.recent_runs(frame, 201)
+
+
+def test_landed_documents_cut_slots_into_bounded_documents(spark, monkeypatch):
+    from pyspark.sql import Window
+
+    from amperline.plans import job_queries
+    from amperline.session import shared_folder
+
+    monkeypatch.setattr(job_queries, "DOCUMENT_SPAN", 37, raising=False)
+    got = job_queries.landed_documents(spark, SF).collect()
+    records = bridges.landed_snapshots(spark, SF)[1]
+    in_slot = Window.partitionBy("slot").orderBy("position")
+    slotted = records.withColumn("slot", F.split_part("snapshot", F.lit("-"), F.lit(2)))
+    expected = slotted.select(
+        "slot",
+        (F.row_number().over(in_slot) - 1).alias("position"),
+        F.get_json_object("record", "$.respondent").alias("respondent"),
+        F.get_json_object("record", "$.type").alias("record_type"),
+    ).collect()
+    assert sorted(map(tuple, got)) == sorted(map(tuple, expected))
+    files = spark.read.text(f"{shared_folder(spark)}/table-*/documents/slot=*/start=*/*.txt")
+    per_slot = files.select(F.regexp_extract(F.input_file_name(), r"slot=([^/]+)/", 1).alias("slot"))
+    assert per_slot.groupBy("slot").count().where("count > 1").count() > 0
