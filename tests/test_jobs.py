@@ -198,3 +198,30 @@ def test_landed_documents_cut_slots_into_bounded_documents(spark, monkeypatch):
     files = spark.read.text(f"{shared_folder(spark)}/table-*/documents/slot=*/start=*/*.txt")
     per_slot = files.select(F.regexp_extract(F.input_file_name(), r"slot=([^/]+)/", 1).alias("slot"))
     assert per_slot.groupBy("slot").count().where("count > 1").count() > 0
+
+
+def test_topic_runs_are_cut_into_bounded_files(spark, monkeypatch):
+    from amperline.plans import job_queries
+
+    def compacted():
+        return sorted(tuple(r) for r in job_queries.compacted_bronze(spark, SF).collect())
+
+    whole = compacted()
+    folders, streams, read = [], [], bus.folder_stream
+
+    def folder_stream(spark, path, files_per_batch=1000):
+        folders.append(path)
+        return read(spark, path, files_per_batch)
+
+    def started(*args, **kwargs):
+        streams.append(start_bronze(*args, **kwargs))
+        return streams[-1]
+
+    monkeypatch.setattr(job_queries, "TOPIC_FILE_ROWS", 40)
+    monkeypatch.setattr(job_queries.bus, "folder_stream", folder_stream)
+    monkeypatch.setattr(job_queries, "start_bronze", started)
+    assert compacted() == whole
+    per_file = bus.folder_batch(spark, folders[0]).groupBy(F.input_file_name()).count()
+    assert per_file.count() > 6 and per_file.agg(F.max("count")).first()[0] <= 2 * 40
+    batches = [p for p in streams[0].recentProgress if int(p["numInputRows"]) > 0]
+    assert len(batches) == 6
