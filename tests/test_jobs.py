@@ -217,7 +217,7 @@ def test_topic_runs_are_cut_into_bounded_files(spark, monkeypatch):
         streams.append(start_bronze(*args, **kwargs))
         return streams[-1]
 
-    monkeypatch.setattr(job_queries, "TOPIC_FILE_ROWS", 40)
+    monkeypatch.setattr(bridges, "TOPIC_FILE_ROWS", 40)
     monkeypatch.setattr(job_queries.bus, "folder_stream", folder_stream)
     monkeypatch.setattr(job_queries, "start_bronze", started)
     assert compacted() == whole
@@ -225,3 +225,20 @@ def test_topic_runs_are_cut_into_bounded_files(spark, monkeypatch):
     assert per_file.count() > 6 and per_file.agg(F.max("count")).first()[0] <= 2 * 40
     batches = [p for p in streams[0].recentProgress if int(p["numInputRows"]) > 0]
     assert len(batches) == 6
+
+
+def test_bronze_stream_topic_is_cut_into_bounded_files(spark, monkeypatch):
+    from amperline.plans import catalog
+
+    whole = sorted(tuple(r) for r in catalog.bronze_stream(spark, SF).collect())
+    folders, read = [], bus.folder_stream
+
+    def folder_stream(spark, path, files_per_batch=1000):
+        folders.append(path)
+        return read(spark, path, files_per_batch)
+
+    monkeypatch.setattr(bridges, "TOPIC_FILE_ROWS", 40)
+    monkeypatch.setattr(catalog.bus, "folder_stream", folder_stream)
+    assert sorted(tuple(r) for r in catalog.bronze_stream(spark, SF).collect()) == whole
+    per_file = bus.folder_batch(spark, folders[0]).groupBy(F.input_file_name()).count()
+    assert per_file.count() > 4 and per_file.agg(F.max("count")).first()[0] <= 2 * 40
