@@ -11,6 +11,7 @@ from pyspark.sql.streaming import StreamingQuery
 
 from amperline.operators.envelope import invalid_envelopes, parse_envelopes, valid_envelopes
 from amperline.operators.publish import dead_letters
+from amperline.session import discard, durable, scratch_folder
 from amperline.sources.tables import LAYERS, exists, table_path
 from amperline.streaming.outcomes import HandlerFailed, OutcomeLog
 
@@ -55,13 +56,18 @@ def bronze_batch(
     """
 
     def process(batch: DataFrame, batch_id: int) -> None:
-        parsed = batch.persist()
+        spark = batch.sparkSession
         # Streaming plans run without adaptive execution. The writes below are
         # plain batch jobs and need it to split hot partitions and merge small ones.
-        conf = batch.sparkSession.conf
+        conf = spark.conf
         adaptive = conf.get("spark.sql.adaptive.enabled")
         conf.set("spark.sql.adaptive.enabled", "true")
+        # The source packs the files of a batch into about one task a core, so a cached
+        # task would grow with the batch. Stored, the batch is read once and then in
+        # splits of bounded size by every write below, at any size of the batch.
+        folder = scratch_folder(spark)
         try:
+            parsed = durable(batch, folder)
             valid, invalid = valid_envelopes(parsed), invalid_envelopes(parsed)
             if handler is not None:
                 try:
@@ -84,7 +90,7 @@ def bronze_batch(
                 outcomes.done(parsed, f"{stream}-{batch_id}")
         finally:
             conf.set("spark.sql.adaptive.enabled", adaptive)
-            parsed.unpersist()
+            discard(spark, folder)
 
     return process
 

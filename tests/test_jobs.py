@@ -88,6 +88,31 @@ def test_repeated_batch_replaces_its_own_rows(spark, tmp_path):
     assert read_layer(spark, str(tmp_path), "bronze_quarantine").count() == 2
 
 
+def test_writes_of_a_batch_read_it_in_bounded_parts(spark, tmp_path):
+    from amperline.streaming.bronze import bronze_batch
+
+    # a batch that reaches the function in one task, as the source deals a large one to few
+    rows = [message(i, envelope("eia", {"a": i}, i) if i % 4 else "x") for i in range(3000)]
+    batch = parse_envelopes(spark.createDataFrame(rows, RECORD).coalesce(1))
+    sizes = []
+
+    def handler(valid):
+        sizes.extend(valid.rdd.glom().map(len).collect())
+
+    settings = {"spark.sql.files.maxPartitionBytes": "16k", "parquet.block.size": "16384"}
+    before = {name: spark.conf.get(name, None) for name in settings}
+    for name, value in settings.items():
+        spark.conf.set(name, value)
+    try:
+        bronze_batch(str(tmp_path), "demo", "one", handler)(batch, 0)
+    finally:
+        for name, value in before.items():
+            spark.conf.unset(name) if value is None else spark.conf.set(name, value)
+    assert sum(sizes) == 2250 and max(sizes) < 2250 / 2
+    assert read_layer(spark, str(tmp_path), "bronze_events").count() == 2250
+    assert read_layer(spark, str(tmp_path), "bronze_quarantine").count() == 750
+
+
 def test_streams_with_their_own_checkpoints_keep_each_others_rows(spark, tmp_path):
     for part in (0, 1):
         topic = f"{tmp_path}/topic-{part}"
