@@ -267,3 +267,13 @@ def test_bronze_stream_topic_is_cut_into_bounded_files(spark, monkeypatch):
     assert sorted(tuple(r) for r in catalog.bronze_stream(spark, SF).collect()) == whole
     per_file = bus.folder_batch(spark, folders[0]).groupBy(F.input_file_name()).count()
     assert per_file.count() > 4 and per_file.agg(F.max("count")).first()[0] <= 2 * 40
+
+
+def test_dealt_rows_spread_over_more_tasks_as_the_table_grows(spark):
+    least = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    rows = spark.range((least + 2) * bridges.DEALT_ROWS).withColumnRenamed("id", "event_id")
+    spread = bridges.dealt(rows, "event_id")
+    assert spread.rdd.getNumPartitions() == least + 2
+    assert max(spread.rdd.glom().map(len).collect()) < 2 * bridges.DEALT_ROWS
+    assert spread.count() == rows.count()
+    assert bridges.dealt(spark.range(10), "id").rdd.getNumPartitions() == least
